@@ -15,6 +15,7 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, memory: str
         .appName("fieldlens")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
