@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldlens.functions import shapes
+from fieldlens.operators.spread import spread
 
 SIDES = ("c0", "c1", "c2")
 
@@ -121,7 +122,7 @@ def _cut_at_crossings(spans: DataFrame, keys: list[str]) -> DataFrame:
         lambda o: F.col("xl")
         + (F.col("xr") - F.col("xl")) * ((o["l"] - F.col("yl")) / ((o["l"] - F.col("yl")) + (F.col("yr") - o["r"]))),
     )
-    cuts = F.array_sort(F.array_distinct(F.flatten(F.collect_list("_mine").over(slab))))
+    cuts = F.sort_array(F.array_distinct(F.flatten(F.collect_list("_mine").over(slab))))
     found = gathered.withColumn("_mine", crossing).withColumn("_cuts", cuts)
     return _between(found, keys, F.col("_cuts"), "xl", "xr")
 
@@ -134,8 +135,8 @@ def strips(edges: DataFrame, keys: list[str], straight: bool = False) -> DataFra
     lower edge, and the counts b1, b2 of sides 1 and 2 below it.
     """
     group = Window.partitionBy(*keys)
-    vertices = F.array_sort(F.array_union(F.collect_set("ax").over(group), F.collect_set("bx").over(group)))
-    spans = _between(edges.withColumn("_xs", vertices), keys, F.col("_xs"), "ax", "bx")
+    vertices = F.sort_array(F.array_union(F.collect_set("ax").over(group), F.collect_set("bx").over(group)))
+    spans = _between(spread(edges, *keys).withColumn("_xs", vertices), keys, F.col("_xs"), "ax", "bx")
     if not straight:
         spans = _cut_at_crossings(spans, keys)
     upward = Window.partitionBy(*keys, "xl").orderBy(F.col("yl") + F.col("yr"), F.desc("w"), "side")
