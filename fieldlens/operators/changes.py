@@ -79,7 +79,7 @@ def update_batch(frame: DataFrame, table: Table, changes: DataFrame, order: str
     if order is not None:
         changes = latest(changes, key, order)
     new = changes.select(
-        F.col(key).alias("_key"), F.struct(*[F.col(c).cast(frame.schema[c].dataType) for c in values]).alias("_new")
+        F.col(key).alias("_key"), F.struct(*[F.col(c).cast(frame.schema[c].dataType).alias(c) for c in values]).alias("_new")
     )
     hit = F.col("_key").isNotNull()
     return frame.join(new, F.col(key) == F.col("_key"), "left").select(

@@ -36,6 +36,12 @@ def zone(layer: DataFrame, distance: float, quarter_steps: int = 16) -> DataFram
     return layer.withColumns({"shape": shapes.make_shape("polygon", F.concat(own, rings)), **grown})
 
 
+def shape_areas(layer: DataFrame, key: str = "id") -> DataFrame:
+    """(key, area) of every feature, also where its rings overlap, as those of zones do."""
+    s = sweep.strips(sweep.edges_of(layer, [key], {"shape": 0}), [key])
+    return s.where("c0 > 0").groupBy(key).agg(F.sum(sweep.strip_area()).alias("area"))
+
+
 def _geometry(layer: DataFrame) -> DataFrame:
     """Distinct geometries of a layer: copies cannot change a union."""
     usable = F.size("shape.parts") > 0
