@@ -113,16 +113,17 @@ def segments_meet(s: Column, t: Column) -> Column:
     return boxes & sides(s, t) & sides(t, s)
 
 
-def winding(segs: Column, x: Column, y: Column) -> Column:
-    """Cover count of a point by a polygon's segments, boundary points aside."""
+def turn(s: Column, x: Column, y: Column) -> Column:
+    """What one directed segment adds to the winding of a point: 1, -1 or 0."""
+    side = _cross(s["ax"], s["ay"], s["bx"], s["by"], x, y)
+    up = (s["ay"] <= y) & (s["by"] > y) & (side > 0)
+    down = (s["ay"] > y) & (s["by"] <= y) & (side < 0)
+    return F.when(up, 1).when(down, -1).otherwise(0)
 
-    def turn(acc: Column, s: Column) -> Column:
-        side = _cross(s["ax"], s["ay"], s["bx"], s["by"], x, y)
-        up = (s["ay"] <= y) & (s["by"] > y) & (side > 0)
-        down = (s["ay"] > y) & (s["by"] <= y) & (side < 0)
-        return acc + F.when(up, 1).when(down, -1).otherwise(0)
 
-    return F.aggregate(segs, F.lit(0), turn)
+def winding(segs: Column, x: Column, y: Column) -> Column:
+    """Cover count of a point by a polygon's segments, boundary points aside."""
+    return F.aggregate(segs, F.lit(0), lambda acc, s: acc + turn(s, x, y))
 
 
 def _starts_inside(outer: Column, outer_segs: Column, inner: Column) -> Column:
@@ -157,15 +158,6 @@ def segment_distance(s: Column, t: Column) -> Column:
     return F.when(segments_meet(s, t), F.lit(0.0)).otherwise(apart)
 
 
-def shape_segment_distance(shape: Column, t: Column) -> Column:
-    """Distance from a shape to one segment; 0 when the segment starts inside a polygon."""
-    segs = segments(shape)
-    inside = (shape["kind"] == "polygon") & (winding(segs, t["ax"], t["ay"]) != 0)
-    return F.when(inside, F.lit(0.0)).otherwise(
-        F.array_min(F.transform(segs, lambda s: segment_distance(s, t)))
-    )
-
-
 def capsule(s: Column, d: Column, steps: int) -> Column:
     """Ring around a segment at distance d: two half circles of ``2 * steps`` chords."""
     heading = F.atan2(s["by"] - s["ay"], s["bx"] - s["ax"])

@@ -8,6 +8,7 @@ the box columns.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -162,7 +163,8 @@ def clip(layer: DataFrame, other: DataFrame, key: str = "id", **tiles) -> DataFr
     Rows that only touch it stay, with area 0 and ``touch_only``. The geometry itself is
     ``clip_pieces``. The exact touch test runs only on features without common area.
     """
-    sizes = areas_against(layer, other, key, **tiles)
+    # three narrow columns, read twice below; kept in memory or on disk and recomputed if lost
+    sizes = areas_against(layer, other, key, **tiles).persist(StorageLevel.MEMORY_AND_DISK)
     inner = sizes.where(~_negligible(F.col("inside"), F.col("area"))).select(F.col(key).alias("_key"), "inside")
     rest = layer.join(inner, F.col(key) == F.col("_key"), "left_anti")
     touching = grid.matched_keys(rest, other, key).select(F.col(key).alias("_key"), F.lit(0.0).alias("inside"))

@@ -348,18 +348,18 @@ def buffer_zones(spark, d):
 
 @query
 def zone_members(spark, d):
-    return nearest.within_distance(boxes(spark, d, LAND), lines(spark, d), 200.0)
+    return nearest.within_distance(boxes(spark, d, LAND), lines(spark, d), 200.0, lines_only=True)
 
 
 @query
 def near_line(spark, d):
-    out = nearest.nearest_distance(boxes(spark, d, LAND), lines(spark, d))
+    out = nearest.nearest_distance(boxes(spark, d, LAND), lines(spark, d), lines_only=True)
     return out.select("id", F.round("distance_m", 6).alias("distance_m"))
 
 
 @query
 def distance_stats(spark, d):
-    out = nearest.distance_stats(nearest.nearest_distance(boxes(spark, d, HOUSE), lines(spark, d)))
+    out = nearest.distance_stats(nearest.nearest_distance(boxes(spark, d, HOUSE), lines(spark, d), lines_only=True))
     return out.select(*[F.round(c, 4).alias(c) for c in out.columns])
 
 
