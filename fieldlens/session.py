@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 
@@ -25,17 +22,3 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, memory: str
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
-
-
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and written tables that cut lineage.
-
-    The cluster names it in ``spark.checkpoint.dir``. Only a session without that
-    setting that runs in local mode falls back to a fresh local folder.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        named = tempfile.mkdtemp(prefix="fieldlens-")
-    return os.path.join(named, "")
