@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldlens.llm import exact_dedup, simhash
+from fieldlens.llm import exact_dedup, quality, simhash, toxicity
 from fieldlens.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +36,13 @@ select doc_id, f keep_id, n group_size, k = 1 kept, s text_sha256 from r"""
 def op7_simhash(spark: SparkSession, d: str) -> DataFrame:
     out = simhash.near_groups(read(spark, d, "documents").select("doc_id", "text"))
     return out.select("doc_id", "fingerprint", "component_id")
+
+
+@query
+def op6_quality(spark: SparkSession, d: str) -> DataFrame:
+    return quality.quality_scores(read(spark, d, "documents"), read(spark, d, "labels"))
+
+
+@query
+def op10_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    return toxicity.toxicity_scores(read(spark, d, "documents"), read(spark, d, "labels"))
