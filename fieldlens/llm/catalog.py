@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldlens.llm import exact_dedup, quality, simhash, toxicity
+from fieldlens.llm import decontaminate, exact_dedup, mixing, quality, simhash, toxicity
 from fieldlens.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,3 +46,14 @@ def op6_quality(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op10_toxicity(spark: SparkSession, d: str) -> DataFrame:
     return toxicity.toxicity_scores(read(spark, d, "documents"), read(spark, d, "labels"))
+
+
+@query
+def op9_decontaminate(spark: SparkSession, d: str) -> DataFrame:
+    out = decontaminate.contaminated(read(spark, d, "documents").select("doc_id", "text"), read(spark, d, "benchmark"))
+    return out.select("doc_id", "item_id", "distance")
+
+
+@query
+def op1_mixture(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mixture(read(spark, d, "documents").select("doc_id", "text", "source"))
