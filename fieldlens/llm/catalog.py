@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldlens.llm import decontaminate, exact_dedup, mixing, quality, simhash, toxicity
+from fieldlens.llm import chat, decontaminate, exact_dedup, language, linededup, mixing, quality, simhash, toxicity, urlfilter
 from fieldlens.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,99 @@ def op9_decontaminate(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op1_mixture(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mixture(read(spark, d, "documents").select("doc_id", "text", "source"))
+
+
+ORACLE["op1_mixture"] = r"""
+with recursive t as (select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) n,
+    coalesce('=' || source, '') sk, coalesce(cast(doc_id as varchar), '-') k from documents),
+h as (select *, ('0x' || substr(md5('mix:' || k), 1, 15))::bigint spot, ('0x' || substr(md5('within:' || k), 1, 15))::bigint rk from t),
+tot as (select sk, sum(n)::bigint total from t group by sk having sum(n) > 0),
+w as (select sum(total)::bigint whole, count(*) m, min(total)::double / sum(total) least from tot),
+p as (select sk, total, total / whole::double p from tot, w),
+f as (select x, ln(z) - x * zl / z >= 0.97 * ln(m) - 1e-12 even, least ** (x - 1) / z > 4.0 worn
+  from (select x, sum(p ** x) z, sum(p ** x * ln(p)) zl from p, (values (0.0::double), (1.0::double)) v(x) group by x), w),
+e(i, a, b) as (select 0, 0.0::double, 1.0::double union all
+  select i + 1, case when ln(z) - c * zl / z >= 0.97 * ln(m) - 1e-12 then c else a end, case when ln(z) - c * zl / z >= 0.97 * ln(m) - 1e-12 then b else c end
+  from (select i, a, b, m, (a + b) / 2 c, (select sum(p ** ((a + b) / 2)) from p) z, (select sum(p ** ((a + b) / 2) * ln(p)) from p) zl from e, w where i < 24)),
+r(i, a, b) as (select 0, 0.0::double, 1.0::double union all
+  select i + 1, case when least ** (c - 1) / z > 4.0 then c else a end, case when least ** (c - 1) / z > 4.0 then b else c end
+  from (select i, a, b, least, (a + b) / 2 c, (select sum(p ** ((a + b) / 2)) from p) z from r, w where i < 24)),
+lim as (select case when (select even from f where x = 1) then 1.0 when not (select even from f where x = 0) then 0.0 else (select a from e where i = 24) end high,
+  case when (select worn from f where x = 1) then 1.0 when not (select worn from f where x = 0) then 0.0 else (select b from r where i = 24) end low),
+x as (select case when m = 1 then 1.0 when high >= low then floor(greatest(high, low) * 1e6) / 1e6 else ceil(low * 1e6) / 1e6 end x from lim, w),
+plan as (select sk, total, cast(round(p ** x / (select sum(p ** x) from p, x) * whole) as bigint) budget, cast(ceil(total / 20000.0) as bigint) blocks from p, x, w),
+d as (select h.*, total, budget, blocks, spot % blocks block from h join plan using (sk)),
+bl as (select sk, block, sum(n)::bigint size, any_value(total) total, any_value(budget) budget from d group by all having sum(n) > 0),
+ps as (select *, unnest(generate_series(0, greatest(0, cast(ceil(budget / total::double) as bigint) - 1))) pass from bl),
+tu as (select *, ('0x' || substr(md5('pass:' || sk || ':' || pass || ':' || block), 1, 15))::bigint turn from ps),
+st as (select *, pass * total + coalesce(sum(size) over (partition by sk, pass order by turn, block rows between unbounded preceding and 1 preceding), 0) pos from tu),
+use as (select d.*, pass, size, pos, coalesce(sum(n) over (partition by d.sk, d.block, pass order by rk, k, n rows between unbounded preceding and 1 preceding), 0) before
+  from d join (select sk, block, pass, size, pos from st where pos < budget) s on s.sk = d.sk and s.block = d.block)
+select doc_id, source, n n_tokens, cast(pass as integer) pass, block, cast(pos as bigint) start_tokens, budget
+from use where n > 0 and (pos + size <= budget or pos + before < budget)"""
+
+
+RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+@query
+def op2_url_filter(spark: SparkSession, d: str) -> DataFrame:
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    return urlfilter.judge(read(spark, d, "pages").select("page_id", "url"), rules)
+
+
+ORACLE["op2_url_filter"] = r"""
+with r(rh, rp, v) as (values ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+    ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+a as (select page_id, case when contains(coalesce(url, ''), '://') then substr(url, strpos(url, '://') + 3) else '' end rest from pages),
+b as (select page_id, regexp_extract(rest, '^[^/?#]*') h, rest from a),
+c as (select row_number() over () k, page_id, translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') host,
+    regexp_extract(substr(rest, length(h) + 1), '^[^?#]*') path from b),
+m as (select c.*, rh || rp rule, v, row_number() over (partition by k order by length(rh || rp) desc nulls last) n
+  from c left join r on (host = rh or ends_with(host, '.' || rh)) and starts_with(path, rp))
+select page_id, host, path, rule, coalesce(v, 'allow') verdict from m where n = 1"""
+
+
+PLANTED = r"\### Assistant: </turn> ok"
+
+
+@query
+def op3_chat_format(spark: SparkSession, d: str) -> DataFrame:
+    own = read(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame([(-7, 0, "user", PLANTED), (-7, 1, "assistant", PLANTED)], "conv_id long, turn long, role string, text string")
+    return chat.digests(chat.format_chats(own.unionByName(more)))
+
+
+ORACLE["op3_chat_format"] = r"""
+with a as (select conv_id, turn, role, text from conversations union all
+  values (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
+b as (select conv_id, turn, coalesce(role, '') r, coalesce(text, '') t from a),
+c as (select *, replace(replace(replace(t, '\', '\\'), '### ', '\### '), '</turn>', '\</turn>') e,
+  replace(replace(replace(replace(r, '\', '\\'), '### ', '\### '), '</turn>', '\</turn>'), ':', '\:') f from b)
+select conv_id, count(*) n_turns, sha256(string_agg(r || chr(10) || t || chr(10), '' order by turn, r, t)) turns_sha256,
+  cast(coalesce(sum(length(t)) filter (where r = 'assistant'), 0) as bigint) loss_chars,
+  sha256(coalesce(string_agg(t, '' order by turn, r, t) filter (where r = 'assistant'), '')) loss_sha256,
+  cast(sum(4 + length(f) + 2 + length(e) + 8) as bigint) formatted_chars
+from c group by conv_id"""
+
+
+@query
+def op8_language(spark: SparkSession, d: str) -> DataFrame:
+    return language.identify(read(spark, d, "documents").select("doc_id", "text", "lang"))
+
+
+@query
+def op5_line_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return linededup.dedupe_lines(read(spark, d, "documents").select("doc_id", "text"))
+
+
+ORACLE["op5_line_dedup"] = r"""
+with l as (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) x, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) i from documents),
+h as (select *, ('0x' || substr(md5(x), 1, 15))::bigint % 2147483647 a from l),
+r as (select *, (a + coalesce(lag(a, 1) over w * 1000003 % 2147483647, 0) + coalesce(lag(a, 2) over w * (1000003::bigint * 1000003 % 2147483647) % 2147483647, 0)) % 2147483647 % 4 = 0 e
+  from h window w as (partition by doc_id order by i)),
+c as (select *, coalesce(sum(e::int) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding), 0) c from r),
+k as (select doc_id, c, count(*) n, min(i) i, string_agg(x, chr(10) order by i) body from c group by all),
+g as (select *, n > 1 and row_number() over (partition by body, n > 1 order by doc_id, i) > 1 gone from k)
+select doc_id, coalesce(string_agg(body, chr(10) order by i) filter (where not gone), '') text, cast(sum(n) as bigint) n_lines,
+  cast(coalesce(sum(n) filter (where gone), 0) as bigint) n_removed from g group by doc_id"""
