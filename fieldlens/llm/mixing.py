@@ -45,8 +45,9 @@ def exponent(shares: DataFrame, entropy: float, repeats: float) -> float:
         a, b = 0.0, 1.0
         for _ in range(_ROUNDS):
             points = [a + (b - a) * i / _SECTIONS for i in range(_SECTIONS + 1)]
-            sums = shares.agg(*[F.sum(F.pow("p", F.lit(x))) for x in points], *[F.sum(F.pow("p", F.lit(x)) * F.log("p")) for x in points]).first()
-            ok = [holds(x, sums[i], sums[i + _SECTIONS + 1]) for i, x in enumerate(points)]
+            tried = shares.select("p", F.posexplode(F.array(*map(F.lit, points))).alias("i", "x")).withColumn("w", F.pow("p", "x"))
+            sums = sorted(tried.groupBy("i").agg(F.sum("w"), F.sum(F.col("w") * F.log("p"))).collect())
+            ok = [holds(x, z, zl) for x, (_, z, zl) in zip(points, sums)]
             last = max((i for i, good in enumerate(ok) if good), default=-1)
             if last in (-1, _SECTIONS):
                 return points[max(last, 0)], points[max(last, 0)]
@@ -92,7 +93,8 @@ def mixture(docs: DataFrame, key: str = "doc_id", text: str = "text", source: st
     plan = materialise(budgets(totals, budget, entropy, repeats))
     plan = plan.withColumn("blocks", F.ceil(F.col("total") / block))
     at_block = (F.col("spot") % F.col("blocks")).alias("block")
-    blocks = narrow.join(plan, "source_key").groupBy("source_key", at_block).agg(F.sum("n_tokens").alias("size"), F.first("total").alias("total"), F.first("budget").alias("budget"))
+    # dealt by source and block, so that a large source does not stay in one task
+    blocks = narrow.join(plan, "source_key").withColumn("block", at_block).repartition("source_key", "block").groupBy("source_key", "block").agg(F.sum("n_tokens").alias("size"), F.first("total").alias("total"), F.first("budget").alias("budget"))
     passes = blocks.where("size > 0").withColumn("pass", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.col("budget") / F.col("total")) - 1).cast("int"))))
     passes = materialise(passes.withColumn("turn", draw(F.lit("pass"), "source_key", "pass", "block")))
     # tokens before each block of a pass: sums of hash ranges first, then inside a range
