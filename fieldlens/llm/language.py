@@ -28,7 +28,8 @@ SAMPLE, FOLDS, FOLD = 3000, 4, 2
 SMOOTH, FLOOR = 0.5, 1e-6
 UNKNOWN = "und"
 WORD_BYTES = 48
-_SLICE, _CACHE, _BITS = 8 << 20, 400_000, 22
+_SLICE, _CACHE, _BITS = 4 << 20, 400_000, 22
+_WORDS = 20_000  # words of one forward pass
 _OTHER = re.compile(r"[\W\d_]+")
 _MARK = "▁"
 
@@ -158,8 +159,8 @@ class Model:
             self._cache, self._used = {}, 0
         bare = [letters(w) for w in raw]
         new = [w for w in dict.fromkeys(bare) if w and w not in self._cache]
-        for a in range(0, len(new), 100_000):
-            part = new[a : a + 100_000]
+        for a in range(0, len(new), _WORDS):
+            part = new[a : a + _WORDS]
             if self._used + len(part) > len(self._rows):
                 self._rows = np.concatenate((self._rows, np.empty_like(self._rows)))
             self._rows[self._used : self._used + len(part)] = self.forward(part)
