@@ -50,9 +50,20 @@ COLOURS = {
 NO_COLOUR = "#999"
 
 
+MIX_SPAN = 2147483629
+_FIELD = 2147483647
+
+
 def mix(key: Column, seed: int) -> Column:
-    """A repeatable scatter of integer keys over 0 … 65536, the same in any SQL engine."""
-    return F.pmod(key.cast("long") * F.lit(40503) + F.lit(seed * 7919), F.lit(65537))
+    """A repeatable scatter of integer keys over [0, MIX_SPAN), the same in any SQL engine.
+
+    Two rounds modulo different primes, the second with a square, so that neighbouring keys
+    share no residue class and few keys meet.
+    """
+    k = key.cast("long")
+    low, high = F.pmod(k, F.lit(_FIELD)), F.pmod(F.shiftright(k, 31), F.lit(_FIELD))
+    first = F.pmod(low * F.lit(48271) + high * F.lit(40503) + F.lit(seed * 7919 + 1), F.lit(_FIELD))
+    return F.pmod(F.pmod(first * first, F.lit(MIX_SPAN)) * F.lit(69621) + first, F.lit(MIX_SPAN))
 
 
 def rule_label(ndvi: Column, nir: Column, red: Column, swir: Column, ndwi: Column, key: Column, seed: int = 42) -> Column:

@@ -71,13 +71,16 @@ def latest(changes: DataFrame, key: str, order: str) -> DataFrame:
 
 
 def update_batch(frame: DataFrame, table: Table, changes: DataFrame, order: str | None = None) -> DataFrame:
-    """Overwrite columns from a batch of (key, new values); keys without a row are ignored."""
+    """Overwrite columns from a batch of (key, new values); keys without a row are ignored.
+
+    Where a key is repeated its last change by ``order`` counts; without an order the greatest
+    row, so that a repeat never multiplies rows of the table.
+    """
     key = table.key
     values = [c for c in changes.columns if c not in (key, order)]
     for name in values:
         table.check_column(name)
-    if order is not None:
-        changes = latest(changes, key, order)
+    changes = changes.groupBy(key).agg(F.max(F.struct(*values)).alias("_last")).select(key, "_last.*") if order is None else latest(changes, key, order)
     new = changes.select(
         F.col(key).alias("_key"), F.struct(*[F.col(c).cast(frame.schema[c].dataType).alias(c) for c in values]).alias("_new")
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import IndexToString, StandardScaler, StringIndexer, VectorAssembler
@@ -62,11 +63,23 @@ def training_frame(samples: DataFrame, weather: DataFrame, scale: float = 1.0, s
 
 
 def train(
-    frame: DataFrame, label: str = "crop_type", features: tuple[str, ...] = FEATURES, trees: int = 150, depth: int = 12, seed: int = 42
-) -> PipelineModel:
-    """Fit encoder, scaler and forest; refuses fewer than MIN_ROWS rows."""
-    if len(frame.limit(MIN_ROWS).select(label).collect()) < MIN_ROWS:
-        raise ValueError(f"at least {MIN_ROWS} training rows are needed")
+    frame: DataFrame, label: str = "crop_type", features: tuple[str, ...] = FEATURES, trees: int = 150, depth: int = 12, seed: int = 42,
+    min_rows: int = MIN_ROWS,
+) -> PipelineModel:
+    """Fit encoder, scaler and forest; refuses fewer than ``min_rows`` rows.
+
+    The frame is read once for each stage, so it is kept while fitting.
+    """
+    frame = frame.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _fit(frame, label, features, trees, depth, seed, min_rows)
+    finally:
+        frame.unpersist()
+
+
+def _fit(frame: DataFrame, label: str, features: tuple[str, ...], trees: int, depth: int, seed: int, min_rows: int) -> PipelineModel:
+    if len(frame.limit(min_rows).select(label).collect()) < min_rows:
+        raise ValueError(f"at least {min_rows} training rows are needed")
     index = StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc").fit(frame)
     stages = [
         VectorAssembler(inputCols=list(features), outputCol="raw_features"),
@@ -115,7 +128,7 @@ def class_metrics(predictions: DataFrame, label: str = "crop_type", predicted: s
                 F.struct(F.col("guess").alias("class"), F.lit(0).cast("long").alias("support"), F.col("count").alias("guessed")),
             )
         ).alias("s"),
-        F.when((F.col("truth") == F.col("guess")) & F.lit(True), F.col("count")).otherwise(0).alias("hit"),
+        F.when(F.col("truth") == F.col("guess"), F.col("count")).otherwise(0).alias("hit"),
     )
     g = sides.groupBy("s.class").agg(
         F.sum("s.support").alias("support"), F.sum("s.guessed").alias("guessed"), (F.sum("hit") / 2).alias("hits")
@@ -179,10 +192,11 @@ def save_detections(spark: SparkSession, new: DataFrame, directory: str, version
     from fieldlens.sources.tables import read_table, write_table
 
     known = {DETECTION.name: DETECTION}
-    rows = new
-    if previous is not None:
+    batch = new.withColumns({"action": F.lit("insert"), "seq": F.lit(1)})
+    if previous is None:  # a repeated id counts once from the first version on
+        rows = changes.latest(batch, DETECTION.key, "seq").select(*new.columns)
+    else:
         old = read_table(spark, f"{directory}/{previous}", DETECTION.name, known)
-        batch = new.withColumns({"action": F.lit("insert"), "seq": F.lit(1)})
         rows = changes.upsert(old, batch, DETECTION)
     write_table(rows, f"{directory}/{version}", DETECTION.name)
     return read_table(spark, f"{directory}/{version}", DETECTION.name, known)

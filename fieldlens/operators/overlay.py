@@ -37,10 +37,56 @@ def zone(layer: DataFrame, distance: float, quarter_steps: int = 16) -> DataFram
     return layer.withColumns({"shape": shapes.make_shape("polygon", F.concat(own, rings)), **grown})
 
 
+CELL = ["_unit", "_cx", "_cy"]
+FINEST = 64
+"""No ring is cut into more than FINEST cells along its longer side."""
+
+
+def _spans(parts: Column) -> Column:
+    """The longer side of every ring's box."""
+
+    def longer(ring: Column) -> Column:
+        xs, ys = F.transform(ring, lambda p: p["x"]), F.transform(ring, lambda p: p["y"])
+        return F.greatest(F.array_max(xs) - F.array_min(xs), F.array_max(ys) - F.array_min(ys))
+
+    return F.transform(parts, longer)
+
+
+def _unit(parts: Column) -> Column:
+    """Cell size for a shape's rings: a power of two about their mean span."""
+    mean = lambda v: F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x) / F.greatest(F.size(v), F.lit(1))
+    wide = F.transform(F.array(_spans(parts)), lambda v: F.greatest(mean(v), F.array_max(v) / FINEST, F.lit(1e-9)))
+    return F.pow(F.lit(2.0), F.ceil(F.log2(F.element_at(wide, 1))))
+
+
+def _ring_edges(rows: DataFrame, keys: list[str], parts: Column, side: int, within: tuple[Column, ...] | None = None) -> DataFrame:
+    """Edges of single rings per cell of ``_unit``: a ring counts only in the cells that its own box reaches.
+
+    A closed ring adds nothing to cells outside its box, so the cover counts stay exact, and a
+    long line's zone of thousands of rings meets in each cell only the few that are near.
+    """
+    lone = rows.select(*keys, "_unit", *([c.alias(f"_b{i}") for i, c in enumerate(within)] if within else []), F.explode(parts).alias("_ring"))
+    xs, ys = F.transform("_ring", lambda p: p["x"]), F.transform("_ring", lambda p: p["y"])
+    box = {"_x0": F.array_min(xs), "_y0": F.array_min(ys), "_x1": F.array_max(xs), "_y1": F.array_max(ys)}
+    lone = lone.withColumns(box)
+    if within:
+        lone = lone.withColumns({c: (F.greatest if i < 2 else F.least)(c, f"_b{i}") for i, c in enumerate(box)})
+    reach = lambda lo, hi: F.sequence(F.floor(F.col(lo) / F.col("_unit")), F.greatest(F.floor(F.col(lo) / F.col("_unit")), F.ceil(F.col(hi) / F.col("_unit")) - 1))
+    cells = lone.where("_x0 < _x1 and _y0 < _y1").withColumn("_cx", F.explode(reach("_x0", "_x1"))).withColumn("_cy", F.explode(reach("_y0", "_y1")))
+    frame = {"w0": F.col("_cx") * F.col("_unit"), "w1": F.col("_cy") * F.col("_unit"), "w2": (F.col("_cx") + 1) * F.col("_unit"), "w3": (F.col("_cy") + 1) * F.col("_unit")}
+    cells = cells.withColumns(frame)
+    if within:
+        cells = cells.withColumns({w: (F.greatest if i < 2 else F.least)(w, f"_b{i}") for i, w in enumerate(frame)})
+    cells = cells.withColumn("_lone", shapes.make_shape("polygon", F.array("_ring")))
+    return sweep.edges_of(cells, [*keys, *CELL], {"_lone": side}, tuple(F.col(w) for w in frame), framed=True)
+
+
 def shape_areas(layer: DataFrame, key: str = "id") -> DataFrame:
     """(key, area) of every feature, also where its rings overlap, as those of zones do."""
-    s = sweep.strips(sweep.edges_of(layer, [key], {"shape": 0}), [key])
-    return s.where("c0 > 0").groupBy(key).agg(F.sum(sweep.strip_area()).alias("area"))
+    parts = F.col("shape.parts")
+    rows = layer.where(F.size(parts) > 0).select(key, "shape", _unit(parts).alias("_unit"))
+    s = sweep.strips(_ring_edges(rows, [key], parts, 0), [key, *CELL])
+    return s.where("c0 > 0 and c2 > 0").groupBy(key).agg(F.sum(sweep.strip_area()).alias("area"))
 
 
 def _geometry(layer: DataFrame) -> DataFrame:
@@ -49,6 +95,12 @@ def _geometry(layer: DataFrame) -> DataFrame:
     return layer.where(usable).select("shape", *BOX).distinct()
 
 
+def axis_parallel(*layers: DataFrame) -> bool:
+    """Whether no edge of the layers is slanting, so that none can cross; read from the data, up to the first that is."""
+    slant = F.exists(shapes.segments(F.col("shape")), lambda s: (s["ax"] != s["bx"]) & (s["ay"] != s["by"]))
+    return all(layer.where(slant).isEmpty() for layer in layers)
+
+
 def _boxes(*layers: DataFrame) -> DataFrame:
     out = layers[0].select(*BOX)
     for layer in layers[1:]:
@@ -56,20 +108,20 @@ def _boxes(*layers: DataFrame) -> DataFrame:
     return out
 
 
-def _tile_strips(layer: DataFrame, factors: DataFrame, size: float, straight: bool) -> DataFrame:
+def _tile_strips(layer: DataFrame, factors: DataFrame, size: float) -> DataFrame:
     """Cover strips of a layer per tile (side 1), inside the tile's window (side 2)."""
     pieces = tiled(_geometry(layer), factors, size)
     window = tuple(F.col(c) for c in TILE_BOX)
-    return sweep.strips(sweep.edges_of(pieces, TILE, {"shape": 1}, window, framed=True), TILE, straight)
+    return sweep.strips(sweep.edges_of(pieces, TILE, {"shape": 1}, window, framed=True), TILE, axis_parallel(layer))
 
 
-def union_boundary(layer: DataFrame, factors: DataFrame, size: float, straight: bool = False) -> DataFrame:
+def union_boundary(layer: DataFrame, factors: DataFrame, size: float) -> DataFrame:
     """Edges of the layer's union per tile, with signed weights.
 
     Edges under the tile count at its bottom border, so the boundary of a tile is
     complete in itself.
     """
-    s = _tile_strips(layer, factors, size, straight)
+    s = _tile_strips(layer, factors, size)
     covered = (F.col("c1") > 0) & (F.col("c2") > 0)
     was = (F.col("b1") > 0) & (F.col("b2") > 0)
     return s.where(covered != was).select(
@@ -82,14 +134,14 @@ def union_boundary(layer: DataFrame, factors: DataFrame, size: float, straight:
     )
 
 
-def dissolve(*layers: DataFrame, size: float = SIZE, cap: int = CAP, straight: bool = False) -> DataFrame:
+def dissolve(*layers: DataFrame, size: float = SIZE, cap: int = CAP) -> DataFrame:
     """The union of all shapes of one or more layers, as disjoint four-sided pieces.
 
     Rows are (tile, shape, box, area). One row for the whole union would have to pass
     through one task; the pieces are the same area and add up (``union_area``).
     """
     both = _union_layer(layers)
-    s = _tile_strips(both, split_factors(both, size, cap), size, straight)
+    s = _tile_strips(both, split_factors(both, size, cap), size)
     return _pieces(s.where((F.col("c1") > 0) & (F.col("c2") > 0)), TILE)
 
 
@@ -116,18 +168,18 @@ def _pieces(strips: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def union_area(*layers: DataFrame, size: float = SIZE, cap: int = CAP, straight: bool = False) -> DataFrame:
+def union_area(*layers: DataFrame, size: float = SIZE, cap: int = CAP) -> DataFrame:
     """One row: the area that the layers cover together."""
     both = _union_layer(layers)
-    s = _tile_strips(both, split_factors(both, size, cap), size, straight)
+    s = _tile_strips(both, split_factors(both, size, cap), size)
     inside = s.where((F.col("c1") > 0) & (F.col("c2") > 0))
     return inside.agg(F.coalesce(F.sum(sweep.strip_area()), F.lit(0.0)).alias("area"))
 
 
-def _against(layer: DataFrame, other: DataFrame, key: str, size: float, cap: int, straight: bool) -> DataFrame:
+def _against(layer: DataFrame, other: DataFrame, key: str, size: float, cap: int) -> DataFrame:
     """Strips of each feature (side 0) and the union of the other layer (side 1), per tile."""
     factors = split_factors(_boxes(layer, _geometry(other)), size, cap)
-    outline = union_boundary(other, factors, size, straight)
+    outline = union_boundary(other, factors, size)
     mine = tiled(layer.where(F.size("shape.parts") > 0).select(key, "shape", *BOX), factors, size)
     window = (F.greatest("x0", "wx0"), F.greatest("y0", "wy0"), F.least("x1", "wx1"), F.least("y1", "wy1"))
     mine = mine.where((window[0] < window[2]) & (window[1] < window[3]))
@@ -139,14 +191,14 @@ def _against(layer: DataFrame, other: DataFrame, key: str, size: float, cap: int
         .withColumn("side", F.lit(1))
     )
     own = sweep.edges_of(mine, keys, {"shape": 0}, window, framed=True)
-    return sweep.strips(own.unionByName(sweep.cut(met, keys)), keys, straight)
+    return sweep.strips(own.unionByName(sweep.cut(met, keys)), keys, axis_parallel(layer, other))
 
 
 def areas_against(
-    layer: DataFrame, other: DataFrame, key: str = "id", size: float = SIZE, cap: int = CAP, straight: bool = False
+    layer: DataFrame, other: DataFrame, key: str = "id", size: float = SIZE, cap: int = CAP
 ) -> DataFrame:
     """Per feature: its area, and how much of it the union of the other layer covers."""
-    s = _against(layer, other, key, size, cap, straight)
+    s = _against(layer, other, key, size, cap)
     mine = s.where((F.col("c0") > 0) & (F.col("c2") > 0)).withColumn("_a", sweep.strip_area())
     return mine.groupBy(key).agg(
         F.sum("_a").alias("area"), F.coalesce(F.sum(F.when(F.col("c1") > 0, F.col("_a"))), F.lit(0.0)).alias("inside")
@@ -174,9 +226,9 @@ def clip(layer: DataFrame, other: DataFrame, key: str = "id", **tiles) -> DataFr
     )
 
 
-def clip_pieces(layer: DataFrame, other: DataFrame, key: str = "id", size: float = SIZE, cap: int = CAP, straight: bool = False) -> DataFrame:
+def clip_pieces(layer: DataFrame, other: DataFrame, key: str = "id", size: float = SIZE, cap: int = CAP) -> DataFrame:
     """The clipped geometry as disjoint pieces per feature and tile."""
-    s = _against(layer, other, key, size, cap, straight)
+    s = _against(layer, other, key, size, cap)
     return _pieces(s.where((F.col("c0") > 0) & (F.col("c1") > 0) & (F.col("c2") > 0)), [key, *TILE])
 
 
@@ -187,9 +239,9 @@ def erase(layer: DataFrame, other: DataFrame, key: str = "id", **tiles) -> DataF
     return layer.join(kept, F.col(key) == F.col("_key")).select(*layer.columns, F.col("left_area").alias("erase_area"))
 
 
-def erase_pieces(layer: DataFrame, other: DataFrame, key: str = "id", size: float = SIZE, cap: int = CAP, straight: bool = False) -> DataFrame:
+def erase_pieces(layer: DataFrame, other: DataFrame, key: str = "id", size: float = SIZE, cap: int = CAP) -> DataFrame:
     """The remaining geometry as disjoint pieces per feature and tile."""
-    s = _against(layer, other, key, size, cap, straight)
+    s = _against(layer, other, key, size, cap)
     return _pieces(s.where((F.col("c0") > 0) & (F.col("c1") <= 0) & (F.col("c2") > 0)), [key, *TILE])
 
 
@@ -201,10 +253,16 @@ def within_union(layer: DataFrame, other: DataFrame, key: str = "id", **tiles) -
 
 
 def _pair_strips(pairs: DataFrame, keys: list[str]) -> DataFrame:
-    """Strips that l (side 0) and r (side 1) share, inside the common box of each pair."""
+    """Strips that l (side 0) and r (side 1) share, inside the common box of each pair, per cell."""
     common = (F.greatest("l.x0", "r.x0"), F.greatest("l.y0", "r.y0"), F.least("l.x1", "r.x1"), F.least("l.y1", "r.y1"))
-    edges = sweep.edges_of(pairs, keys, {"l.shape": 0, "r.shape": 1}, common, framed=True)
-    return sweep.strips(edges, keys).where((F.col("c0") > 0) & (F.col("c1") > 0) & (F.col("c2") > 0))
+    common = tuple(c.cast("double") for c in common)
+    sides = [F.col("l.shape.parts"), F.col("r.shape.parts")]
+    span = F.greatest(common[2] - common[0], common[3] - common[1])
+    # no finer than a 64th of the common box
+    least = F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(span / FINEST, F.lit(1e-9)))))
+    rows = pairs.withColumn("_unit", F.greatest(F.least(*[_unit(p) for p in sides]), least))
+    edges = [_ring_edges(rows, keys, p, i, common) for i, p in enumerate(sides)]
+    return sweep.strips(edges[0].unionByName(edges[1]), [*keys, *CELL]).where("c0 > 0 and c1 > 0 and c2 > 0")
 
 
 def _smaller_box() -> Column:
@@ -218,28 +276,30 @@ def _pair_boxes() -> tuple[tuple[Column, ...], tuple[Column, ...]]:
     return tuple(tuple(F.col(f"{s}.{c}").cast("double") for c in BOX) for s in "lr")
 
 
-def _candidates(left: DataFrame, right: DataFrame, key: str, boxes: bool, on: Column | None = None) -> DataFrame:
-    columns = [key, *BOX] if boxes else [key, "shape", *BOX]
+def _only_boxes(*layers: DataFrame) -> bool:
+    """Layers without a shape column are boxes and need no sweep."""
+    return not any("shape" in layer.columns for layer in layers)
+
+
+def _candidates(left: DataFrame, right: DataFrame, key: str, on: Column | None = None) -> DataFrame:
+    columns = [key, *BOX] if _only_boxes(left, right) else [key, "shape", *BOX]
     pairs = grid.box_pairs(left.select(*columns), right.select(*columns), on)
     return pairs.select(F.col(f"l.{key}").alias("a"), F.col(f"r.{key}").alias("b"), "l", "r")
 
 
-def pair_areas(left: DataFrame, right: DataFrame, key: str = "id", boxes: bool = False, on: Column | None = None) -> DataFrame:
-    """Common area of every pair with some: (a, b, area). Touching pairs are not in it.
-
-    ``boxes`` tells that all shapes are axis-parallel boxes, which needs no sweep.
-    """
-    pairs = _candidates(left, right, key, boxes, on)
-    if boxes:
+def pair_areas(left: DataFrame, right: DataFrame, key: str = "id", on: Column | None = None) -> DataFrame:
+    """Common area of every pair with some: (a, b, area). Touching pairs are not in it."""
+    pairs = _candidates(left, right, key, on)
+    if _only_boxes(left, right):
         return pairs.select("a", "b", grid.box_overlap_area(*_pair_boxes()).alias("area")).where("area > 0")
     keys = ["a", "b", "_small"]
     sums = _pair_strips(pairs.withColumn("_small", _smaller_box()), keys).groupBy(*keys).agg(F.sum(sweep.strip_area()).alias("area"))
     return sums.where(~_negligible(F.col("area"), F.col("_small"))).select("a", "b", "area")
 
 
-def intersection(left: DataFrame, right: DataFrame, key: str = "id", boxes: bool = False) -> DataFrame:
+def intersection(left: DataFrame, right: DataFrame, key: str = "id") -> DataFrame:
     """One row per pair with common area, attributes of both sides and that area."""
-    areas = pair_areas(left, right, key, boxes)
+    areas = pair_areas(left, right, key)
     drop = {"shape", *BOX}
     a = left.select(*[F.col(c).alias(f"left_{c}") for c in left.columns if c not in drop])
     b = right.select(*[F.col(c).alias(f"right_{c}") for c in right.columns if c not in drop])
@@ -252,16 +312,17 @@ def intersection(left: DataFrame, right: DataFrame, key: str = "id", boxes: bool
 
 def intersection_pieces(left: DataFrame, right: DataFrame, key: str = "id") -> DataFrame:
     """The common geometry of every pair as disjoint pieces."""
-    return _pieces(_pair_strips(_candidates(left, right, key, False), ["a", "b"]), ["a", "b"])
+    return _pieces(_pair_strips(_candidates(left, right, key), ["a", "b"]), ["a", "b"])
 
 
-def touching_pairs(left: DataFrame, right: DataFrame, key: str = "id", name: str = "name", boxes: bool = False) -> DataFrame:
+def touching_pairs(left: DataFrame, right: DataFrame, key: str = "id", name: str = "name") -> DataFrame:
     """Every pair that shares a point, touching ones included, with both names and the common area.
 
     A missing name is replaced by the kind of layer and the id.
     """
     a = left.withColumn("_label", _label(left, name, key, "landuse_"))
     b = right.withColumn("_label", _label(right, name, key, "natural_"))
+    boxes = _only_boxes(left, right)
     pick = [key, "_label", *BOX] + ([] if boxes else ["shape"])
     met = grid.meet_pairs(a.select(*pick), b.select(*pick)).select(
         F.col(f"l.{key}").alias("a"), F.col(f"r.{key}").alias("b"), "l", "r"
@@ -279,19 +340,20 @@ def _label(frame: DataFrame, name: str, key: str, prefix: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), fallback) if name in frame.columns else fallback
 
 
-def overlap_pairs(layer: DataFrame, key: str = "id", boxes: bool = False) -> DataFrame:
+def overlap_pairs(layer: DataFrame, key: str = "id") -> DataFrame:
     """Unordered pairs (a < b) whose interiors meet while neither contains the other.
 
     Equal shapes do not overlap, so copies are folded to one geometry before the join and
     unfolded after it; a geometry repeated a million times compares with itself never.
     """
     folded = grid.distinct_shapes(layer, key)
-    areas = pair_areas(folded, folded, key, boxes, F.col(f"l.{key}") < F.col(f"r.{key}"))
+    boxes = _only_boxes(layer)
+    areas = pair_areas(folded, folded, key, F.col(f"l.{key}") < F.col(f"r.{key}"))
     if boxes:
         own = (F.col("x1") - F.col("x0")).cast("double") * (F.col("y1") - F.col("y0"))
-    else:
-        own = shapes.area(F.col("shape"))
-    sized = folded.select(F.col(key).alias("_k"), own.alias("_own"))
+        sized = folded.select(F.col(key).alias("_k"), own.alias("_own"))
+    else:  # the covered area, also of shapes whose rings overlap
+        sized = shape_areas(folded, key).select(F.col(key).alias("_k"), F.col("area").alias("_own"))
     mine = lambda side: sized.select(F.col("_k").alias(side), F.col("_own").alias(f"_{side}"))
     part = areas.join(mine("a"), "a").join(mine("b"), "b")
     smaller = F.least("_a", "_b")

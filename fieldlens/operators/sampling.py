@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldlens.functions.spectral import mix
+from fieldlens.functions.spectral import MIX_SPAN, mix
 
-BUCKETS = 1024
+BUCKETS = 1 << 16
 
 
 def sample_n(frame: DataFrame, n: int, seed: int = 42, key: str = "id") -> DataFrame:
@@ -47,6 +47,6 @@ def ranked(frame: DataFrame, group: str, order: Column, span: int, key: str, nam
 
 def stratified_split(frame: DataFrame, label: str, key: str, test_share: float = 0.2, seed: int = 42) -> DataFrame:
     """Add ``is_test``: exactly round(share * rows) of every class, chosen by the key."""
-    order, span = mix(F.col(key), seed), 65537
+    order, span = mix(F.col(key), seed), MIX_SPAN
     r = ranked(frame, label, order, span, key, "_rank")
     return r.withColumn("is_test", F.col("_rank") <= F.round(F.col("_rank_of") * F.lit(test_share))).drop("_rank", "_rank_of")

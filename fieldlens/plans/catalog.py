@@ -293,12 +293,12 @@ def unique_matches(spark, d):
 
 @query
 def touching_pairs(spark, d):
-    return overlay.touching_pairs(derive(spark, d, LAND), derive(spark, d, ZONE), boxes=True)
+    return overlay.touching_pairs(derive(spark, d, LAND), derive(spark, d, ZONE))
 
 
 @query
 def overlap_pairs(spark, d):
-    return overlay.overlap_pairs(derive(spark, d, LAND), boxes=True)
+    return overlay.overlap_pairs(derive(spark, d, LAND))
 
 
 @query
@@ -310,33 +310,33 @@ def pair_areas(spark, d):
 def intersection_overlay(spark, d):
     land = derive(spark, d, LAND).join(derive(spark, d, "select p_partkey id, p_type fclass from {part}"), "id")
     zone = derive(spark, d, ZONE).join(derive(spark, d, "select s_suppkey id, s_name name from {supplier}"), "id")
-    return overlay.intersection(land, zone, boxes=True)
+    return overlay.intersection(land, zone)
 
 
 @query
 def clip_area(spark, d):
-    return overlay.clip(boxes(spark, d, LAND), boxes(spark, d, ZONE), straight=True).select("id", "clip_area", "touch_only")
+    return overlay.clip(boxes(spark, d, LAND), boxes(spark, d, ZONE)).select("id", "clip_area", "touch_only")
 
 
 @query
 def erase_area(spark, d):
-    return overlay.erase(boxes(spark, d, LAND), boxes(spark, d, ZONE), straight=True).select("id", "erase_area")
+    return overlay.erase(boxes(spark, d, LAND), boxes(spark, d, ZONE)).select("id", "erase_area")
 
 
 @query
 def union_area(spark, d):
-    return overlay.union_area(boxes(spark, d, LAND), boxes(spark, d, ZONE), straight=True)
+    return overlay.union_area(boxes(spark, d, LAND), boxes(spark, d, ZONE))
 
 
 @query
 def dissolve_layer(spark, d):
-    pieces = overlay.dissolve(boxes(spark, d, ZONE), straight=True)
+    pieces = overlay.dissolve(boxes(spark, d, ZONE))
     return pieces.agg(F.sum("area").alias("area"), F.min("x0").alias("x0"), F.max("y1").alias("y1"))
 
 
 @query
 def within_union(spark, d):
-    return overlay.within_union(boxes(spark, d, LAND), boxes(spark, d, ZONE), straight=True).select("id")
+    return overlay.within_union(boxes(spark, d, LAND), boxes(spark, d, ZONE)).select("id")
 
 
 @query
@@ -348,18 +348,18 @@ def buffer_zones(spark, d):
 
 @query
 def zone_members(spark, d):
-    return nearest.within_distance(boxes(spark, d, LAND), lines(spark, d), 200.0, lines_only=True)
+    return nearest.within_distance(boxes(spark, d, LAND), lines(spark, d), 200.0)
 
 
 @query
 def near_line(spark, d):
-    out = nearest.nearest_distance(boxes(spark, d, LAND), lines(spark, d), lines_only=True)
+    out = nearest.nearest_distance(boxes(spark, d, LAND), lines(spark, d))
     return out.select("id", F.round("distance_m", 6).alias("distance_m"))
 
 
 @query
 def distance_stats(spark, d):
-    out = nearest.distance_stats(nearest.nearest_distance(boxes(spark, d, HOUSE), lines(spark, d), lines_only=True))
+    out = nearest.distance_stats(nearest.nearest_distance(boxes(spark, d, HOUSE), lines(spark, d)))
     return out.select(*[F.round(c, 4).alias(c) for c in out.columns])
 
 
@@ -510,7 +510,7 @@ def class_counts(spark, d):
 
 def _model(spark, d):
     train, test = crops.split(_training(spark, d))
-    return crops.train(train, trees=20, depth=8), test
+    return crops.train(train), test
 
 
 @query

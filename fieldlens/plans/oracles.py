@@ -22,6 +22,13 @@ def _with(**texts: str) -> str:
 
 ORACLE: dict[str, str] = {}
 
+
+def _mix(key: str, seed: int = 42) -> str:
+    """The scatter of ``spectral.mix`` for keys from 0 to 2^31."""
+    first = f"((({key})::bigint % 2147483647 * 48271 + {seed * 7919 + 1}) % 2147483647)"
+    return f"(({first} * {first} % 2147483629 * 69621 + {first}) % 2147483629)"
+
+
 ORACLE["join_range"] = _with(p=c.PARCEL_OF_LINE, s=c.SOIL) + """
 select p.number, p.area_ha::double area_ha, s.name soil_name, s.ph::double ph from p join s on p.soil_id = s.id
 where s.ph between 10 and 20"""
@@ -114,7 +121,7 @@ ORACLE["table_profile"] = """select 'nation' table_name, count(*) row_count, 'n_
 union all select 'customer', count(*), 'c_custkey,c_name,c_nationkey,c_acctbal,c_mktsegment' from customer
 union all select 'orders', count(*), 'o_orderkey,o_custkey,o_orderstatus,o_totalprice,o_orderdate,o_orderpriority' from orders
 union all select 'lineitem', count(*), 'l_orderkey,l_partkey,l_suppkey,l_linenumber,l_quantity,l_extendedprice,l_discount,l_tax,l_returnflag,l_linestatus,l_shipdate' from lineitem"""
-ORACLE["sample_n"] = _with(a=dv.LAND) + f"select * from a order by (id*40503 + {42 * 7919}) % 65537, id limit 500"
+ORACLE["sample_n"] = _with(a=dv.LAND) + f"select * from a order by {_mix('id')}, id limit 500"
 ORACLE["present_rows"] = """select o_orderkey::varchar o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') o_orderdate,
 coalesce(nullif(o_orderstatus, 'F'), '') status from orders"""
 ORACLE["complete_cases"] = "select event_id, event_type, user_id from events where event_type <> 'error' and user_id is not null and event_id is not null"
@@ -215,9 +222,9 @@ when ndvi > 0.76e0 and ndwi < 0.1e0 then 'Soja' when ndvi > 0.7e0 and ndwi > 0.1
 when swir > 0.25e0 and ndvi < 0.65e0 then 'Suncokret' when ndvi < 0.65e0 and red > 0.08e0 then 'Ječam'
 when ndvi > 0.72e0 and ndwi > 0.15e0 then 'Krompir'
 else list_extract(['Pšenica', 'Kukuruz', 'Suncokret', 'Soja', 'Ječam', 'Krompir'],
- ((sample_id*40503 + {42 * 7919}) % 65537 % 6 + 1)::int) end crop_type from ff where ndvi is not null and savi is not null"""
+ ({_mix('sample_id')} % 6 + 1)::int) end crop_type from ff where ndvi is not null and savi is not null"""
 
-_SPLIT = f"""row_number() over (partition by label order by (vec_id*40503 + {42 * 7919}) % 65537, vec_id)
+_SPLIT = f"""row_number() over (partition by label order by {_mix('vec_id')}, vec_id)
 <= round(0.2e0 * count(*) over (partition by label))"""
 ORACLE["strat_split"] = f"select vec_id, label, {_SPLIT} is_test from (select o_orderkey vec_id, o_orderpriority label from orders)"
 ORACLE["strat_split_sizes"] = f"""select label, count(*) filter (t) test, count(*) filter (not t) train

@@ -6,43 +6,43 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldlens.operators import nearest, overlay
-from fieldlens.operators.sampling import sample_n
 
 ROAD_ZONE_M = 200.0
 BUILDING_ZONE_M = 500.0
 
 
-def overlay_suite(layers: dict[str, DataFrame], cap: int | None = None) -> dict[str, DataFrame]:
+def overlay_suite(layers: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Results by name; those whose layers are missing are left out, without landuse all are.
 
-    Layers are planar, in metres. ``cap`` limits the inputs to a repeatable sample, as a
-    preview; by default every feature takes part.
+    Layers are planar, in metres: those that ``read_layers`` gives go through ``layers.to_planar``
+    first. Every feature takes part.
     """
     if "landuse" not in layers:
         return {}
 
-    def some(name: str) -> DataFrame:
-        return layers[name] if cap is None else sample_n(layers[name], cap)
-
     land, out = layers["landuse"], {}
     if "roads" in layers:
-        zones = overlay.zone(some("roads"), ROAD_ZONE_M)
+        zones = overlay.zone(layers["roads"], ROAD_ZONE_M)
         out["road_zones"] = zones
         if "buildings" in layers:
-            out["building_zones"] = overlay.zone(some("buildings"), BUILDING_ZONE_M)
+            out["building_zones"] = overlay.zone(layers["buildings"], BUILDING_ZONE_M)
         out["clip_landuse_roads"] = overlay.clip(land, zones)
+        out["clip_landuse_roads_pieces"] = overlay.clip_pieces(land, zones)
         out["intersection_landuse_roads"] = overlay.intersection(land, zones)
+        out["intersection_landuse_roads_pieces"] = overlay.intersection_pieces(land, zones)
         out["difference_landuse_roads"] = overlay.erase(land, zones)
+        out["difference_landuse_roads_pieces"] = overlay.erase_pieces(land, zones)
     if "natural" in layers:
         out["union_landuse_natural"] = overlay.union_area(land, layers["natural"])
-        out["intersects_landuse_natural"] = overlay.touching_pairs(some("landuse"), layers["natural"])
+        out["union_landuse_natural_pieces"] = overlay.dissolve(land, layers["natural"])
+        out["intersects_landuse_natural"] = overlay.touching_pairs(layers["landuse"], layers["natural"])
     if "buildings" in layers:
-        out["buildings_within_landuse"] = overlay.within_union(some("buildings"), some("landuse"))
+        out["buildings_within_landuse"] = overlay.within_union(layers["buildings"], layers["landuse"])
         if "waterways" in layers:
             out["building_water_distance"] = nearest.nearest_distance(
-                some("buildings"), layers["waterways"], "water_distance_m"
+                layers["buildings"], layers["waterways"], "water_distance_m"
             )
-    out["overlap_landuse"] = overlay.overlap_pairs(some("landuse"))
+    out["overlap_landuse"] = overlay.overlap_pairs(layers["landuse"])
     return out
 
 

@@ -34,10 +34,17 @@ def thin(layer: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
     return shapes.with_bounds(out)
 
 
-def map_layer(name: str, layer: DataFrame, key: str = "id") -> DataFrame:
-    """A layer as a map shows it: a repeatable sample up to its limit, thinned."""
-    limited = sample_n(layer, MAP_LIMITS.get(name, OTHER_LIMIT), 42, key)
-    return thin(limited, BUILDING_TOLERANCE if name == "buildings" else TOLERANCE)
+def map_layer(name: str, layer: DataFrame, key: str = "id", limit: int | None = None) -> DataFrame:
+    """A layer thinned as a map shows it: all of it, or a repeatable sample of ``limit`` features.
+
+    The usual limits of a browser map are ``map_limit(name)``.
+    """
+    shown = layer if limit is None else sample_n(layer, limit, 42, key)
+    return thin(shown, BUILDING_TOLERANCE if name == "buildings" else TOLERANCE)
+
+
+def map_limit(name: str) -> int:
+    return MAP_LIMITS.get(name, OTHER_LIMIT)
 
 
 def geojson_lines(layer: DataFrame) -> DataFrame:
@@ -47,6 +54,7 @@ def geojson_lines(layer: DataFrame) -> DataFrame:
     lines = F.to_json(F.transform(shape["parts"], lambda r: F.transform(r, pair)))
     first = F.to_json(F.transform(shape["parts"][0], pair))
     spot = F.to_json(pair(shape["parts"][0][0]))
+    spots = F.to_json(F.transform(F.flatten(shape["parts"]), pair))
     # every counter-clockwise ring opens a polygon, clockwise rings are holes of the one before
     rings = F.aggregate(
         shape["parts"],
@@ -66,6 +74,7 @@ def geojson_lines(layer: DataFrame) -> DataFrame:
         F.when(shape["kind"] == "polygon", F.concat(F.lit('{"type":"MultiPolygon","coordinates":'), polygons, F.lit("}")))
         .when((shape["kind"] == "line") & many, F.concat(F.lit('{"type":"MultiLineString","coordinates":'), lines, F.lit("}")))
         .when(shape["kind"] == "line", F.concat(F.lit('{"type":"LineString","coordinates":'), first, F.lit("}")))
+        .when((shape["kind"] == "point") & (F.size(F.flatten(shape["parts"])) > 1), F.concat(F.lit('{"type":"MultiPoint","coordinates":'), spots, F.lit("}")))
         .when(shape["kind"] == "point", F.concat(F.lit('{"type":"Point","coordinates":'), spot, F.lit("}")))
         .otherwise(F.lit("null"))
     )

@@ -97,6 +97,11 @@ def read_layers(spark: SparkSession, paths: Mapping[str, str], window: tuple[flo
     }
 
 
+def to_planar(layers: Mapping[str, DataFrame], srid: int = 32634) -> dict[str, DataFrame]:
+    """Layers as read, in EPSG 4326, moved to a UTM zone for areas and distances, with their box columns anew."""
+    return {name: shapes.with_bounds(f.withColumn("shape", reproject(F.col("shape"), 4326, srid))) for name, f in layers.items()}
+
+
 def region_filter(layer: DataFrame, window: tuple[float, ...] = WINDOW) -> DataFrame:
     """Features that share a point with the window; they are not cut.
 

@@ -7,6 +7,7 @@ from fieldlens.functions import shapes
 from fieldlens.operators import crops
 from fieldlens.plans.overlays import overlay_preview, overlay_suite
 from fieldlens.sources import schemas, tables
+from fieldlens.sources.layers import to_planar
 from test_spatial import box, polygons
 
 
@@ -28,7 +29,10 @@ def test_overlay_suite(spark):
     assert set(out) == {
         "road_zones", "building_zones", "clip_landuse_roads", "intersection_landuse_roads", "difference_landuse_roads",
         "union_landuse_natural", "intersects_landuse_natural", "buildings_within_landuse", "building_water_distance", "overlap_landuse",
+        "clip_landuse_roads_pieces", "intersection_landuse_roads_pieces", "difference_landuse_roads_pieces", "union_landuse_natural_pieces",
     }
+    sums = {n: out[f"{n}_pieces"].agg(F.sum("area")).first()[0] for n in ("clip_landuse_roads", "union_landuse_natural")}
+    assert sums["clip_landuse_roads"] == pytest.approx(100000) and sums["union_landuse_natural"] == pytest.approx(550000)
     assert {r.id: round(r.clip_area) for r in out["clip_landuse_roads"].collect()} == {1: 50000, 2: 50000}
     assert out["difference_landuse_roads"].count() == 3 and out["intersection_landuse_roads"].count() == 2
     assert out["union_landuse_natural"].first().area == pytest.approx(500 * 500 * 2 - 100 * 500 + 100 * 100 + 300 * 300)
@@ -42,6 +46,17 @@ def test_overlay_suite(spark):
     assert overlay_suite({"roads": data["roads"]}) == {}
 
 
+def test_layers_in_degrees_become_metres(spark):
+    land = polygons(spark, {1: [box(21.0, 0.0, 0.001, 0.001)], 2: [box(20.0, 45.0, 0.01, 0.01)]})
+    planar = to_planar({"landuse": land})["landuse"]
+    rows = {r.id: r for r in planar.select("*", shapes.area(F.col("shape")).alias("area")).collect()}
+    # on the central meridian at the equator: 500 km easting, 0 northing, scale 0.9996
+    assert (rows[1].x0, rows[1].y0) == (pytest.approx(500000), pytest.approx(0, abs=1e-6))
+    assert rows[1].x1 - rows[1].x0 == pytest.approx(111.3195 * 0.9996, abs=0.001)
+    assert rows[1].y1 - rows[1].y0 == pytest.approx(110.5743 * 0.9996, abs=0.001)
+    assert rows[2].area == pytest.approx(78848.6 / 100 * 111137.8 / 100 * 0.9996**2, rel=2e-3)
+
+
 def test_detection_report(spark):
     scored = spark.sql("""select id sample_id, 19.5D + id/10D longitude, 45.0D latitude, 0.7D ndvi, 20.0D temperature,
       60.0D humidity, 0.5D probability, 'Soja' predicted from range(3)""")

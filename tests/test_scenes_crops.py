@@ -37,7 +37,7 @@ def test_empty_scene_set_stays_empty(spark):
 
 def test_ranks_equal_row_number_with_one_hot_group(spark):
     frame = spark.range(4000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 7)).alias("g"))
-    ours = sampling.ranked(frame.repartition(13), "g", spectral.mix(F.col("id"), 42), 65537, "id")
+    ours = sampling.ranked(frame.repartition(13), "g", spectral.mix(F.col("id"), 42), spectral.MIX_SPAN, "id")
     frame.withColumn("o", spectral.mix(F.col("id"), 42)).createOrReplaceTempView("ranks")
     plain = spark.sql("select id, row_number() over (partition by g order by o, id) r from ranks")
     assert ours.join(plain, "id").where("rank <> r").count() == 0 and ours.count() == 4000

@@ -113,7 +113,7 @@ def test_many_copies_and_a_crowd(spark):
     hit = sum(1 for _, x, y, u, v in boxes if x < 9 and u > 5 and y < 9 and v > 5)
     cross = sum(1 for m, p in enumerate(boxes) for q in boxes[m + 1:] if p[1] < q[3] and q[1] < p[3] and p[2] < q[4] and q[2] < p[4] and p[1:] != q[1:])
     swallowed = sum(1 for _, x, y, u, v in boxes if x <= 5 and y <= 5 and u >= 9 and v >= 9)
-    assert overlay.overlap_pairs(layer, boxes=True).count() == 3000 * (hit - swallowed) + cross
+    assert overlay.overlap_pairs(layer).count() == 3000 * (hit - swallowed) + cross
 
 
 def test_nearest_matches_brute_force(spark):
@@ -178,6 +178,6 @@ def test_invalid_shapes_and_geojson_round_trip(spark, tmp_path):
 
 def test_plans_have_no_nested_loops(random_layers):
     _, _, la, lb = random_layers
-    for frame in (grid.spatial_join(la, lb), overlay.clip(la, lb), overlay.overlap_pairs(la), nearest.nearest_distance(la, lb, lines_only=True)):
+    for frame in (grid.spatial_join(la, lb), overlay.clip(la, lb), overlay.overlap_pairs(la), nearest.nearest_distance(la, lb)):
         text = frame._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in text and "Cartesian" not in text
