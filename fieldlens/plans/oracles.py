@@ -81,7 +81,8 @@ union all select 'lineitem', count(*), sum(l_partkey)::bigint from l"""
 ORACLE["setnull_delete"] = _with(k=c.POOR) + """
 select case when l_suppkey in (select s_suppkey from k) then null else l_suppkey end l_suppkey, count(*) as rows
 from lineitem group by 1"""
-ORACLE["integrity_report"] = """with c as (select * from customer where c_acctbal > 0)
+ORACLE["integrity_report"] = """with c as (select * from customer),
+o as (select * from orders union all select * replace (-o_orderkey as o_orderkey, -o_custkey as o_custkey) from orders where o_orderstatus = 'P')
 select 'nation' table_name, 'not_null' check_name, 'n_nationkey' column_name, count(*) violations from nation where n_nationkey is null
 union all select 'nation', 'not_null', 'n_name', count(*) from nation where n_name is null
 union all select 'nation', 'max_length', 'n_name', count(*) from nation where length(n_name) > 8
@@ -93,13 +94,13 @@ union all select 'customer', 'max_length', 'c_name', count(*) from c where lengt
 union all select 'customer', 'max_length', 'c_mktsegment', count(*) from c where length(c_mktsegment) > 9
 union all select 'customer', 'unique', 'c_custkey', count(*) from (select 1 from c group by c_custkey having count(*) > 1)
 union all select 'customer', 'unique', 'c_acctbal', count(*) from (select 1 from c where c_acctbal is not null group by c_acctbal having count(*) > 1)
-union all select 'orders', 'not_null', 'o_orderkey', count(*) from orders where o_orderkey is null
-union all select 'orders', 'not_null', 'o_custkey', count(*) from orders where o_custkey is null
-union all select 'orders', 'precision', 'o_totalprice', count(*) from orders where o_totalprice >= 99999.995
-union all select 'orders', 'not_null', 'o_orderpriority', count(*) from orders where o_orderpriority is null
-union all select 'orders', 'max_length', 'o_orderpriority', count(*) from orders where length(o_orderpriority) > 10
-union all select 'orders', 'unique', 'o_orderkey', count(*) from (select 1 from orders group by o_orderkey having count(*) > 1)
-union all select 'orders', 'unique', 'o_totalprice', count(*) from (select 1 from orders group by o_totalprice having count(*) > 1)
+union all select 'orders', 'not_null', 'o_orderkey', count(*) from o where o_orderkey is null
+union all select 'orders', 'not_null', 'o_custkey', count(*) from o where o_custkey is null
+union all select 'orders', 'precision', 'o_totalprice', count(*) from o where o_totalprice >= 99999.995
+union all select 'orders', 'not_null', 'o_orderpriority', count(*) from o where o_orderpriority is null
+union all select 'orders', 'max_length', 'o_orderpriority', count(*) from o where length(o_orderpriority) > 10
+union all select 'orders', 'unique', 'o_orderkey', count(*) from (select 1 from o group by o_orderkey having count(*) > 1)
+union all select 'orders', 'unique', 'o_totalprice', count(*) from (select 1 from o group by o_totalprice having count(*) > 1)
 union all select 'supplier', 'not_null', 's_suppkey', count(*) from supplier where s_suppkey is null
 union all select 'supplier', 'not_null', 's_name', count(*) from supplier where s_name is null
 union all select 'supplier', 'max_length', 's_name', count(*) from supplier where length(s_name) > 17
@@ -107,8 +108,8 @@ union all select 'supplier', 'unique', 's_suppkey', count(*) from (select 1 from
 union all select 'lineitem', 'not_null', 'l_orderkey', count(*) from lineitem where l_orderkey is null
 union all select 'lineitem', 'unique', 'l_orderkey', count(*) from (select 1 from lineitem group by l_orderkey having count(*) > 1)
 union all select 'customer', 'foreign_key', 'c_nationkey', count(*) from c where c_nationkey not in (select n_nationkey from nation)
-union all select 'orders', 'foreign_key', 'o_custkey', count(*) from orders where o_custkey not in (select c_custkey from c)
-union all select 'lineitem', 'foreign_key', 'l_orderkey', count(*) from lineitem where l_orderkey not in (select o_orderkey from orders)
+union all select 'orders', 'foreign_key', 'o_custkey', count(*) from o where o_custkey not in (select c_custkey from c)
+union all select 'lineitem', 'foreign_key', 'l_orderkey', count(*) from lineitem where l_orderkey not in (select o_orderkey from o)
 union all select 'lineitem', 'foreign_key', 'l_suppkey', count(*) from lineitem where l_suppkey not in (select s_suppkey from supplier)"""
 
 _CATEGORY = "case fclass " + " ".join(f"when '{k}' then '{v}'" for k, v in LANDUSE_CATEGORY.items()) + " else fclass end"

@@ -19,7 +19,7 @@ def parcels_with_soil(parcel: DataFrame, soil: DataFrame, low: float = 6.0, high
         p.join(s, F.col("p.soil_id") == F.col("s.id"))
         .where(F.col("s.ph").between(low, high))
         .select("p.number", "p.area_ha", F.col("s.name").alias("soil_name"), "s.ph")
-        .orderBy(F.desc("area_ha"))
+        .orderBy(F.desc("area_ha"), "number")
     )
 
 
@@ -38,7 +38,7 @@ def crops_with_owner(crop: DataFrame, parcel: DataFrame, owner: DataFrame, statu
             "o.last_name",
             F.col("o.kind").alias("owner_kind"),
         )
-        .orderBy("crop_name")
+        .orderBy("crop_name", "number", "variety")
     )
 
 
@@ -49,7 +49,7 @@ def low_ndvi(monitoring: DataFrame, crop: DataFrame, limit: float = 0.75) -> Dat
         m.where(F.col("m.ndvi") < F.lit(limit))
         .join(c, F.col("m.crop_id") == F.col("c.id"))
         .select(F.col("c.name").alias("crop_name"), "m.day", "m.ndvi", "m.health", "m.problems")
-        .orderBy("ndvi")
+        .orderBy("ndvi", "day", "crop_name")
     )
 
 
@@ -68,7 +68,7 @@ def parcels_by_municipality(
             F.col("c.name").alias("crop_name"),
             "c.status",
         )
-        .orderBy("municipality_name")
+        .orderBy("municipality_name", "number", "crop_name")
     )
 
 
@@ -110,7 +110,7 @@ def irrigated_crops(
             "o.email",
             F.col("m.name").alias("municipality_name"),
         )
-        .orderBy("drainage")
+        .orderBy("drainage", "soil_name", "email", "crop_name")
     )
 
 
@@ -135,7 +135,7 @@ def treatments(monitoring: DataFrame, crop: DataFrame, parcel: DataFrame, munici
             F.col("p.address").alias("parcel_address"),
             "m.town",
         )
-        .orderBy(F.desc("day"))
+        .orderBy(F.desc("day"), "number", "crop_name")
     )
 
 

@@ -95,6 +95,13 @@ def test_update_delete_null_rules(spark, tables):
         changes.delete_where(crop, REGISTER["crop"], "id; drop table", 1)
 
 
+def test_repeated_update_keeps_one_row(spark, tables):
+    crop = tables["crop"]
+    batch = spark.createDataFrame([(1, "a"), (1, "b"), (99, "c")], "id long, status string")
+    out = changes.update_batch(crop, REGISTER["crop"], batch)
+    assert out.count() == 6 and _col(out.where("id = 1"), "status") == ["b"]
+
+
 def test_upsert_last_change_wins(spark, tables):
     crop = tables["crop"]
     rows = crop.where("id in (1, 2)").withColumns({"status": F.lit("x"), "seq": F.lit(1), "action": F.lit("update")})

@@ -59,7 +59,8 @@ def test_model_round_trip_and_refusal(spark, tmp_path):
 def test_detections_upsert_and_edit(spark, tmp_path):
     scored = spark.sql("select 1L sample_id, 19.5D longitude, 45.0D latitude, 0.71234D ndvi, 20.0D temperature, 60.0D humidity, 0.5D probability, 'Soja' predicted")
     one = crops.detections(scored)
-    crops.save_detections(spark, one, str(tmp_path), "v1")
+    first = crops.save_detections(spark, one.unionByName(one), str(tmp_path), "v1")
+    assert first.count() == one.count()
     both = crops.detections(scored.unionByName(scored.withColumn("sample_id", F.lit(2).cast("long"))).withColumn("predicted", F.lit("Kukuruz")))
     saved = crops.save_detections(spark, both, str(tmp_path), "v2", "v1")
     assert sorted((r.detection_id, r.crop_type) for r in saved.collect()) == [(1, "Kukuruz"), (2, "Kukuruz")]

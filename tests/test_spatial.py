@@ -5,6 +5,7 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from fieldlens.functions import geodesy, shapes
 from fieldlens.operators import grid, nearest, overlay
@@ -168,14 +169,32 @@ def test_invalid_shapes_and_geojson_round_trip(spark, tmp_path):
     ok, rejected = layers.split_invalid(good.unionByName(null))
     assert ok.count() == 2 and [r.reason for r in rejected.collect()] == ["missing"]
     export.write_geojson(good.withColumn("name", F.lit("ж\"x")), str(tmp_path / "g"))
-    from pyspark.sql import types as T
-
-    back = layers.read_layer(spark, str(tmp_path / "g"), "geojson", T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType())]))
+    back = layers.read_layer(spark, str(tmp_path / "g"), "geojson", StructType([StructField("id", LongType()), StructField("name", StringType())]))
     rows = {r.id: r for r in back.withColumn("area", shapes.area(F.col("shape"))).collect()}
     assert rows[1].area == 800.0 and rows[2].area == 25.0 and rows[1]["name"] == 'ж"x'
     assert (rows[2].x0, rows[2].y1) == (50.0, 55.0)
 
 
+def test_several_points_survive_export(spark, tmp_path):
+    p = lambda x, y: shapes.point(F.lit(float(x)), F.lit(float(y)))
+    shape = shapes.make_shape("point", F.array(F.array(p(1, 2)), F.array(p(3, 4))))
+    export.write_geojson(shapes.with_bounds(spark.range(1).select("id", shape.alias("shape"))), str(tmp_path / "g"))
+    row = layers.read_layer(spark, str(tmp_path / "g"), "geojson", StructType([StructField("id", LongType())])).first()
+    assert [(q.x, q.y) for ring in row["shape"].parts for q in ring] == [(1.0, 2.0), (3.0, 4.0)]
+
+
+def test_crossing_triangles(spark):
+    p = lambda x, y: shapes.point(F.lit(float(x)), F.lit(float(y)))
+    tri = lambda *c: shapes.polygon_shape(F.array(F.array(*[p(*v) for v in (*c, c[0])])))
+    one = spark.range(1).select(F.lit(1).cast("long").alias("id"), tri((0, 0), (100, 0), (50, 100)).alias("shape"))
+    two = spark.range(1).select(F.lit(2).cast("long").alias("id"), tri((0, 100), (50, 0), (100, 100)).alias("shape"))
+    a, b = shapes.with_bounds(one), shapes.with_bounds(two)
+    common = overlay.pair_areas(a, b).first().area
+    assert overlay.union_area(a, b).first().area == pytest.approx(10000 - common)
+    assert overlay.clip(a, b).first().clip_area == pytest.approx(common)
+    assert overlay.erase(a, b).first().erase_area == pytest.approx(5000 - common)
+
+
 def test_plans_have_no_nested_loops(random_layers):
     _, _, la, lb = random_layers
     for frame in (grid.spatial_join(la, lb), overlay.clip(la, lb), overlay.overlap_pairs(la), nearest.nearest_distance(la, lb)):
