@@ -30,6 +30,7 @@ UNKNOWN = "und"
 WORD_BYTES = 48
 _SLICE, _CACHE, _BITS = 4 << 20, 400_000, 22
 _WORDS = 20_000  # words of one forward pass
+_SALTS = 64
 _OTHER = re.compile(r"[\W\d_]+")
 _MARK = "▁"
 
@@ -196,8 +197,10 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     """
     free = docs.where(F.col(lang).isNotNull() & ~held_out(key, FOLDS, FOLD))
     counts = {r[lang]: r["count"] for r in free.groupBy(lang).count().collect()}  # a row per language
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("k"), "k")
-    keys = free.select(F.col(key).alias("k"), F.col(lang).alias("lang")).withColumn("n", F.row_number().over(order)).where(F.col("n") <= sample)
+    keys = free.select(F.col(key).alias("k"), F.col(lang).alias("lang"), F.xxhash64(key).alias("h"))
+    # the first of each salt, then the first of those: no task ranks a whole language
+    for part in (["lang", F.pmod("h", F.lit(_SALTS))], ["lang"]):
+        keys = keys.withColumn("n", F.row_number().over(Window.partitionBy(*part).orderBy("h", "k"))).where(F.col("n") <= sample)
     picked = free.select(F.col(key).alias("k"), F.col(lang).alias("lang"), F.col(text).alias("t"))
     picked = picked.join(keys.select("k", "lang").distinct(), ["k", "lang"], "left_semi")
 
