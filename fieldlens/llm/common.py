@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,30 @@ def materialise(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the session names for intermediates, in ``spark.checkpoint.dir`` or on the context."""
+    known = spark.conf.get("spark.checkpoint.dir", None)
+    if not known:
+        context = spark.sparkContext._jsc.sc()
+        if context.getCheckpointDir().isEmpty():
+            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoint-"))
+        known = context.getCheckpointDir().get()
+    return known.rstrip("/")
+
+
+def written(frame: DataFrame, name: str) -> str:
+    """Write a frame as Parquet to a folder of its own among the shared intermediates; the folder."""
+    path = f"{shared_folder(frame.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return path
+
+
+def discard(spark: SparkSession, folder: str) -> None:
+    """Delete an intermediate folder, wherever it is stored."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def row_hash(frame: DataFrame) -> Column:
     """A hash of all columns: together with the key it tells rows of a repeated key apart."""
     kinds = {f.name: f.dataType for f in frame.schema}
