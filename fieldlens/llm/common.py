@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,6 +55,18 @@ def discard(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int):
+    """Hand at most so many rows at once to Python, for frames whose rows are large and that are run inside the block."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def row_hash(frame: DataFrame) -> Column:
     """A hash of all columns: together with the key it tells rows of a repeated key apart."""
     kinds = {f.name: f.dataType for f in frame.schema}

@@ -26,11 +26,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldlens.llm.columnar import flat, runs, word_spans
-from fieldlens.llm.common import discard, materialise, written
+from fieldlens.llm.common import discard, materialise, small_batches, written
 
 TOP, FLAT, SLOPE = 10, 25, 75  # m = FLAT + SLOPE * n / mean n
-SLICE_BYTES, SLICE_ITEMS = 8 << 20, 2000
-_PART, _CELLS, _EXACT = 8 << 20, 1 << 22, 1 << 53
+SLICE_BYTES, SLICE_ITEMS, INDEX_ROWS, ROWS = 8 << 20, 2000, 500, 2000
+_PART, _CELLS, _EXACT = 2 << 20, 1 << 19, 1 << 53
 _LETTER = np.ones(256, bool)
 _LETTER[:128] = [chr(b).isalnum() for b in range(128)]
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -74,15 +74,24 @@ def lengths(docs: DataFrame) -> tuple[int, int]:
     return r[0] or 0, r[1] or 0
 
 
-def _lists(values: np.ndarray | pa.Array, sizes: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), values if isinstance(values, pa.Array) else pa.array(values, pa.int32()))
+def _packed(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """One binary per stratum, of the 32-bit numbers between its bounds."""
+    data = pa.py_buffer(np.ascontiguousarray(values, np.int32))
+    return pa.BinaryArray.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer((4 * bounds).astype(np.int32)), data])
+
+
+def _numbers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(all numbers of packed binaries, bounds of each row)."""
+    data, offsets = flat(column)
+    return np.ascontiguousarray(data).view(np.int32).astype(np.int64), offsets // 4
 
 
 def index(docs: DataFrame, n: int, total: int) -> DataFrame:
     """One row per stratum and slice; docs: (key, text).
 
-    ``docs`` are the keys. Term t has the tf groups first[t] to first[t + 1], ascending; group g has the documents
-    at[posting[g]] to at[posting[g + 1]], as places in ``docs``. Documents without a term have no stratum.
+    ``docs`` are the keys and ``terms`` the distinct terms, a line each. The rest are packed 32-bit numbers: for every
+    term how many tf groups it has, for every group its tf (ascending) and how many documents, for every posting the
+    document's place in ``docs``. Documents without a term have no stratum.
     """
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,8 +104,9 @@ def index(docs: DataFrame, n: int, total: int) -> DataFrame:
                 used = np.flatnonzero(size)
                 each_size, of = np.unique(size[used], return_inverse=True)
                 m = np.array([FLAT + SLOPE * int(s) * n // total for s in each_size], np.int64)[of]
-                used, m = used[order := np.argsort(m, kind="stable")], m[order]
-                strata, stratum, docs_in = np.unique(m, return_inverse=True, return_counts=True)
+                order = np.argsort(m, kind="stable")
+                used = used[order]
+                strata, stratum, docs_in = np.unique(m[order], return_inverse=True, return_counts=True)
                 place = np.zeros(len(size), np.int64)
                 place[used] = np.arange(len(used))
                 code, tf = np.unique(place[row] * np.int64(len(known)) + term, return_counts=True)
@@ -106,23 +116,22 @@ def index(docs: DataFrame, n: int, total: int) -> DataFrame:
                 doc, term, tf, of = doc[order], term[order], tf[order], of[order]
                 change = lambda *c: np.flatnonzero(np.append(True, np.any([x[1:] != x[:-1] for x in c], axis=0)))
                 groups, words = change(of, term, tf), change(of, term)
-                starts = np.searchsorted(of, np.arange(len(strata) + 1))  # postings of each stratum
-                g_of, t_of = np.searchsorted(groups, starts), np.searchsorted(words, starts)
-                first, post = np.searchsorted(groups, words), groups
-                first = np.concatenate([np.append(first[a:b], c) - d for a, b, c, d in zip(t_of, t_of[1:], g_of[1:], g_of)])
-                post = np.concatenate([np.append(post[a:b], c) - d for a, b, c, d in zip(g_of, g_of[1:], starts[1:], starts)])
-                base = np.cumsum(docs_in) - docs_in
+                at = np.searchsorted(of, np.arange(len(strata) + 1))
+                by_group, by_word = np.searchsorted(groups, at), np.searchsorted(words, at)
+                word = known.take(pa.array(term[words]))
+                docs_at = np.concatenate(([0], np.cumsum(docs_in)))
+                lines = [b"\n".join(word.slice(a, b - a).to_pylist()) for a, b in zip(by_word, by_word[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(strata), _lists(batch.column(0).slice(i, len(size)).take(pa.array(used)), docs_in),
-                        _lists(known.take(pa.array(term[words])).cast(pa.binary()), np.diff(t_of)), _lists(first, np.diff(t_of) + 1),
-                        _lists(tf[groups], np.diff(g_of)), _lists(post, np.diff(g_of) + 1), _lists(doc - base[of], np.diff(starts)),
+                        pa.array(strata), pa.ListArray.from_arrays(pa.array(docs_at, pa.int32()), batch.column(0).slice(i, len(size)).take(pa.array(used))),
+                        pa.array(lines, pa.binary()), _packed(np.diff(np.append(np.searchsorted(groups, words), len(groups))), by_word),
+                        _packed(tf[groups], by_group), _packed(np.diff(np.append(groups, len(of))), by_group), _packed(doc - docs_at[of], at),
                     ],
-                    ["m", "docs", "terms", "first", "tf", "posting", "at"],
+                    ["m", "docs", "terms", "groups", "tf", "holders", "places"],
                 )
 
     kind = docs.schema["key"].dataType.simpleString()
-    return docs.select("key", "text").mapInArrow(each, f"m bigint, docs array<{kind}>, terms array<binary>, first array<int>, tf array<int>, posting array<int>, at array<int>")
+    return docs.select("key", "text").mapInArrow(each, f"m bigint, docs array<{kind}>, terms binary, groups binary, tf binary, holders binary, places binary")
 
 
 @dataclass
@@ -162,30 +171,37 @@ class Queries:
 
 
 class Strata:
-    """The part of some index rows that queries ask for."""
+    """The part of some index rows that queries ask for: an entry for each stratum and term."""
 
     def __init__(self, batch: pa.RecordBatch, queries: Queries):
-        lists = {c: batch.column(c) for c in ("terms", "first", "posting", "docs") if c in batch.schema.names}
-        offset = lambda c: np.asarray(lists[c].offsets).astype(np.int64) - np.asarray(lists[c].offsets)[0]
-        values = lambda c: np.asarray(lists[c].flatten()).astype(np.int64)
-        coded = lists["terms"].flatten().dictionary_encode()
+        data, _ = flat(batch.column("terms"))
+        groups, own = _numbers(batch.column("groups"))
+        end = np.ones(len(groups), np.int64)  # a term's bytes and the line end, missing after a row's last
+        end[own[1:][np.diff(own) > 0] - 1] = 0
+        breaks = np.flatnonzero(data == 10)
+        stop = np.empty(len(groups), np.int64)
+        stop[end == 1] = breaks
+        bounds = flat(batch.column("terms"))[1]
+        stop[end == 0] = bounds[1:][np.diff(own) > 0]
+        start = np.concatenate(([0], (stop + end)[:-1]))
+        size = stop - start
+        bare = np.ascontiguousarray(data[data != 10])
+        at = np.concatenate(([0], np.cumsum(size)))
+        coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(at), pa.py_buffer(bare)]).dictionary_encode()
         known = np.array([queries.number.get(t.as_py(), -1) for t in coded.dictionary], np.int64)
         number = known[coded.indices.to_numpy(zero_copy_only=False)] if len(known) else known
-        own = offset("terms")
         entry = np.flatnonzero(number >= 0)
         self.row, self.term, self.rows = np.searchsorted(own, entry, "right") - 1, number[entry], len(batch)
-        first = values("first")[entry + self.row], values("first")[entry + self.row + 1]  # a row has one more than terms
-        self.groups = first[1] - first[0]
-        post = offset("posting")
-        self.group = first[0] + post[self.row] - self.row  # place among all groups of the batch
-        posting = values("posting")
-        self._spot = lambda group, row: posting[group + row]
-        self.seen = self._spot(self.group + self.groups, self.row) - self._spot(self.group, self.row)
-        if "docs" in lists:
-            self.docs_at, self.keys = offset("docs"), lists["docs"].flatten()
-            self.tf, self.at = np.asarray(batch.column("tf").flatten()).astype(np.int64), np.asarray(batch.column("at").flatten()).astype(np.int64)
-            at = batch.column("at").offsets
-            self.post_at = np.asarray(at).astype(np.int64) - np.asarray(at)[0]
+        self.holders, _ = _numbers(batch.column("holders"))
+        begin = np.concatenate(([0], np.cumsum(groups)))
+        self.groups, self.group = groups[entry], begin[entry]
+        self.posting = np.concatenate(([0], np.cumsum(self.holders)))
+        self.seen = self.posting[self.group + self.groups] - self.posting[self.group]
+        if "docs" in batch.schema.names:
+            docs = batch.column("docs")
+            self.docs_at = np.asarray(docs.offsets).astype(np.int64)
+            self.docs_at, self.keys = self.docs_at - self.docs_at[0], docs.flatten()
+            self.tf, self.places = _numbers(batch.column("tf"))[0], _numbers(batch.column("places"))[0]
             self.m = batch.column("m").to_numpy()
             self.best = self.impact(self.group + self.groups - 1, self.row)
 
@@ -199,33 +215,40 @@ class Strata:
         top = np.repeat(self.best * q.weight[self.term], n) * q.times[on]
         return q.add(q.item[on] * self.rows + np.repeat(self.row, n), top, q.items * self.rows).reshape(q.items, self.rows)
 
-    def scores(self, q: Queries, visit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def scores(self, q: Queries, visit: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(item, document, score) above 0 of the visited (item, stratum) cells, documents as places in ``keys``."""
         group, row = _expand(self.group, self.groups), np.repeat(self.row, self.groups)
         impact = self.impact(group, row)  # once per term, tf and stratum
+        begin, count = self.posting[group], self.holders[group]
         lead = np.cumsum(self.groups) - self.groups
         n = np.diff(q.begin)[self.term]
         entry, on = np.repeat(np.arange(len(self.term)), n), _expand(q.begin[self.term], n)
         go = visit[q.item[on], self.row[entry]]
         entry, on = entry[go], on[go]
-        if not len(entry):
-            return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
-        k = self.groups[entry]
-        g = _expand(lead[entry], k)  # group of every (entry, item)
-        value = np.repeat(q.weight[self.term[entry]] * q.times[on], k) * impact[g]
-        a, b = self._spot(group[g], row[g]), self._spot(group[g] + 1, row[g])
-        docs = self.at[_expand(a + self.post_at[row[g]], b - a)] + np.repeat(self.docs_at[row[g]], b - a)
-        item, width = np.repeat(np.repeat(q.item[on], k), b - a), len(self.keys)
-        cell, which = np.unique(item * np.int64(width) + docs, return_inverse=True)
-        total = q.add(which, np.repeat(value, b - a), len(cell))
-        return cell // width, cell % width, total
-
-
-def _slices(batch: pa.RecordBatch, items: int) -> Iterator[pa.RecordBatch]:
-    """Index rows in parts whose work is bounded, one row at least."""
-    size = np.diff(np.asarray(batch.column("at").offsets)) * min(items, 64) + items
-    for i, j in runs(np.concatenate(([0], np.cumsum(size))), 1 << 20, _CELLS):
-        yield batch.slice(i, j - i)
+        order = np.lexsort((q.item[on], self.row[entry]))
+        entry, on = entry[order], on[order]
+        cell = np.flatnonzero(np.diff(self.row[entry] * np.int64(q.items) + q.item[on], prepend=-1))  # cells of one item and stratum
+        work = np.concatenate(([0], np.cumsum(self.seen[entry])))
+        for i, j in runs(work[np.append(cell, len(entry))], 1 << 20, _CELLS):
+            a, b = cell[i], cell[j] if j < len(cell) else len(entry)
+            own, k = entry[a:b], self.groups[entry[a:b]]
+            g = _expand(lead[own], k)
+            width = np.diff(self.docs_at)[self.row[entry[cell[i:j]]]]
+            base = np.cumsum(width) - width
+            at_cell = np.repeat(np.repeat(np.arange(j - i), np.diff(np.append(cell[i:j], b))), k)
+            value = np.repeat(np.repeat(q.weight[self.term[own]] * q.times[on[a:b]], k) * impact[g], count[g])
+            spot = np.repeat(base[at_cell], count[g]) + self.places[_expand(begin[g], count[g])]
+            total = q.add(spot, value, int(width.sum()))
+            found = np.flatnonzero(total)
+            which = np.searchsorted(base, found, "right") - 1
+            yield q.item[on[cell[i:j]]][which], found - base[which] + self.docs_at[self.row[entry[cell[i:j]]]][which], total[found]
+
+
+def _slices(batch: pa.RecordBatch, q: Queries) -> Iterator[pa.RecordBatch]:
+    """Index rows in parts whose bounds take bounded space, one row at least."""
+    step = max(1, _CELLS // (len(q.item) + q.items))
+    for i in range(0, len(batch), step):
+        yield batch.slice(i, step)
 
 
 def _best(found: pa.Table, top: int) -> tuple[pa.Table, pa.Table]:
@@ -244,19 +267,19 @@ def _visit(shared, floors: np.ndarray | None, top: int):
         floor = np.ones(q.items, np.int64) if floors is None else np.maximum(floors, 1)
         held = None
         for batch in batches:
-            for part in _slices(batch, q.items):
+            for part in _slices(batch, q):
                 strata = Strata(part, q)
                 bound = strata.bounds(q)
                 visit = bound >= floor[:, None]
                 if floors is None:
                     visit &= np.arange(strata.rows) == bound.argmax(axis=1)[:, None]
-                item, doc, score = strata.scores(q, visit)
-                good = score >= floor[item]
-                if not good.any():
-                    continue
-                new = pa.table({"item": item[good], "score": score[good], "key": strata.keys.take(pa.array(doc[good]))})
-                held, last = _best(new if held is None else pa.concat_tables([held, new]), top)
-                floor[last.column("item").to_numpy()] = last.column("score").to_numpy()
+                for item, doc, score in strata.scores(q, visit):
+                    good = score >= floor[item]
+                    if not good.any():
+                        continue
+                    new = pa.table({"item": item[good], "score": score[good], "key": strata.keys.take(pa.array(doc[good]))})
+                    held, last = _best(new if held is None else pa.concat_tables([held, new]), top)
+                    floor[last.column("item").to_numpy()] = last.column("score").to_numpy()
         if held is not None:
             yield from held.combine_chunks().to_batches()
 
@@ -295,38 +318,40 @@ def search(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text"))
     asked = items.select(F.col(f"`{item}`").alias("id"), F.col(f"`{item_text}`").cast("string").alias("text"))
     out = T.StructType([T.StructField("id", kinds["item"]), T.StructField("item", T.LongType())])
-    n, total = lengths(rows)
+    with small_batches(spark, ROWS):
+        n, total = lengths(rows)
+        folder = written(index(rows, n, total), "lexical") if n else None
     found = []
-    if n:
-        folder = written(index(rows, n, total), "lexical")
+    if folder:
         strata = spark.read.parquet(folder)
-        for own in _item_slices(asked):
-            queries = Queries.of([t for _, t in own])
-            if not queries.number:
-                continue
-            plain = spark.sparkContext.broadcast(queries)  # SLICE_BYTES of text and SLICE_ITEMS items at most
-
-            def seen(batches: Iterator[pa.RecordBatch], plain=plain) -> Iterator[pa.RecordBatch]:
-                df = np.zeros(len(plain.value.number), np.int64)
-                for batch in batches:
-                    own = Strata(batch, plain.value)
-                    df += np.bincount(own.term, weights=own.seen, minlength=len(df)).astype(np.int64)
-                at = np.flatnonzero(df)
-                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(df[at])], ["term", "df"])
-
-            counted = strata.select("terms", "first", "posting").mapInArrow(seen, "term bigint, df bigint").groupBy("term").agg(F.sum("df").alias("df"))
-            queries.weigh(n, {r["term"]: r["df"] for r in counted.collect()})  # the slice's terms
-            weighed = spark.sparkContext.broadcast(queries)
-            schema = f"item bigint, score bigint, key {kinds['key']}"
-            first = _ranked(strata.mapInArrow(_visit(weighed, None, top), schema), top).where(F.col("rank") == top).select("item", "score")
-            floors = np.zeros(len(own), np.int64)
-            for r in first.collect():  # a row per item of the slice
-                floors[r["item"]] = r["score"]
-            best = _ranked(strata.mapInArrow(_visit(weighed, floors, top), schema), top)
-            names = spark.createDataFrame([(i, k) for k, (i, _) in enumerate(own)], out)
-            found.append(materialise(best.join(names, "item").select("id", F.col("rank").cast("int").alias("rank"), "key", "score")))
-            plain.unpersist()
-            weighed.unpersist()
+        with small_batches(spark, INDEX_ROWS):  # index rows are large
+            for own in _item_slices(asked):
+                queries = Queries.of([t for _, t in own])
+                if not queries.number:
+                    continue
+                plain = spark.sparkContext.broadcast(queries)  # SLICE_BYTES of text and SLICE_ITEMS items at most
+
+                def seen(batches: Iterator[pa.RecordBatch], plain=plain) -> Iterator[pa.RecordBatch]:
+                    df = np.zeros(len(plain.value.number), np.int64)
+                    for batch in batches:
+                        own = Strata(batch, plain.value)
+                        df += np.bincount(own.term, weights=own.seen, minlength=len(df)).astype(np.int64)
+                    at = np.flatnonzero(df)
+                    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(df[at])], ["term", "df"])
+
+                counted = strata.select("terms", "groups", "holders").mapInArrow(seen, "term bigint, df bigint").groupBy("term").agg(F.sum("df").alias("df"))
+                queries.weigh(n, {r["term"]: r["df"] for r in counted.collect()})  # the slice's terms
+                weighed = spark.sparkContext.broadcast(queries)
+                schema = f"item bigint, score bigint, key {kinds['key']}"
+                first = _ranked(strata.mapInArrow(_visit(weighed, None, top), schema), top).where(F.col("rank") == top).select("item", "score")
+                floors = np.zeros(len(own), np.int64)
+                for r in first.collect():  # a row per item of the slice
+                    floors[r["item"]] = r["score"]
+                best = _ranked(strata.mapInArrow(_visit(weighed, floors, top), schema), top)
+                names = spark.createDataFrame([(i, k) for k, (i, _) in enumerate(own)], out)
+                found.append(materialise(best.join(names, "item").select("id", F.col("rank").cast("int").alias("rank"), "key", "score")))
+                plain.unpersist()
+                weighed.unpersist()
         discard(spark, folder)
     empty = spark.createDataFrame([], f"id {kinds['item'].simpleString()}, rank int, key {kinds['key']}, score bigint")
     result = found[0] if found else empty
