@@ -1,19 +1,19 @@
 """MinHash near-duplicates by a multi-index Hamming join of b-bit signatures.
 
 A document is the set of its distinct word shingles. Its signature has symbols of ``BITS`` bits, each cut from the smallest
-value of one hash function over the set. The first ``CHUNKS * WIDTH`` symbols are indexed: two signatures with ``d``
-different symbols there have, by the pigeonhole principle, a chunk with at most ``d // CHUNKS`` of them. Every chunk is
-indexed once for each single error that it may have (that symbol is left out), so all pairs of at most ``2 * CHUNKS - 1``
-different symbols meet under some key. A pair just at the threshold's similarity meets under none with a probability
-of 3e-7. The remaining symbols are not indexed; they spare comparisons of sets.
+value of one hash function over the set. Two signatures with ``d`` different symbols have, by the pigeonhole principle,
+a chunk with at most ``d // CHUNKS`` of them. Every chunk is indexed once for each single error that it may have (that
+symbol is left out), so all pairs of at most ``2 * CHUNKS - 1`` different symbols meet under some key. A pair just at
+the threshold's similarity meets under none with a probability of 3e-7.
 
 Pairs are confirmed on the full sets, and only those that can matter are made:
 
 1. Equal sets are folded to one node, so copies cost one row.
 2. Under each key every node meets the smallest node only. Confirmed links give components.
-3. Keys whose nodes still lie in several components are gone through whole: blocks of nodes meet in tasks, and pairs
-   of different components that sizes and signatures allow are confirmed as well. Nothing is left out, and a group of
-   copies, which is one component by then, never gets here.
+3. Keys under which several components still meet are put together to families, such that all nodes of a key are in
+   one. Families are gone through whole: blocks of their nodes meet in tasks, where one matrix product gives the exact
+   intersections of all their sets, and the links come out as a forest. Nothing is left out, and a group of copies,
+   which is one component by then, is no family.
 """
 
 from __future__ import annotations
@@ -28,15 +28,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldlens.llm.columnar import flat, runs
-from fieldlens.llm.common import materialise
+from fieldlens.llm.common import materialise, small_batches
 from fieldlens.llm.graph import components
 
 SHINGLE, PERCENT = 3, 85
 CHUNKS, WIDTH, BITS = 10, 6, 10
-INDEXED, SYMBOLS = CHUNKS * WIDTH, 192
-BLOCK = 1024
+SYMBOLS = CHUNKS * WIDTH
+BLOCK, BLOCK_HASHES, ROWS = 512, 1 << 20, 1000
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
-_SLICE, _CELLS = 4 << 20, 1 << 14
+_SLICE, _CELLS, _COLUMNS = 2 << 20, 1 << 14, 1 << 12
 _SEEDS = np.random.default_rng(42).integers(1, 1 << 63, (2, SYMBOLS), dtype=np.uint64) | np.uint64(1)
 
 
@@ -90,7 +90,7 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
 
 def keys(signs: np.ndarray) -> np.ndarray:
     """(signature, chunk and hole): the chunk's symbols without the one at the hole, told apart by chunk and hole."""
-    out = np.empty((len(signs), INDEXED), np.int64)
+    out = np.empty((len(signs), SYMBOLS), np.int64)
     for c in range(CHUNKS):
         own = signs[:, c * WIDTH : (c + 1) * WIDTH].astype(np.int64)
         for hole in range(WIDTH):
@@ -151,7 +151,7 @@ def _sets_of(shingle: int):
 def _key_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = keys(_decoded(batch.column(1)))
-        node = np.repeat(batch.column(0).to_numpy(), INDEXED)
+        node = np.repeat(batch.column(0).to_numpy(), SYMBOLS)
         yield pa.RecordBatch.from_arrays([pa.array(found.ravel()), pa.array(node)], ["k", "node"])
 
 
@@ -177,56 +177,82 @@ def _possible(percent: int):
     return each
 
 
+def common(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
+    """(set of one, set of two): how many hashes both have."""
+    sizes = np.array([len(x) for x in one + two])
+    values, which, seen = np.unique(np.concatenate(one + two), return_inverse=True, return_counts=True)
+    keep = seen[which] > 1  # a hash of a single set is in no intersection
+    row, number = np.repeat(np.arange(len(sizes)), sizes)[keep], np.cumsum(seen > 1)[which[keep]] - 1
+    order = np.argsort(number, kind="stable")
+    row, number = row[order], number[order]
+    out = np.zeros((len(one), len(two)), np.float64)
+    cut = np.searchsorted(number, np.arange(0, int((seen > 1).sum()) + _COLUMNS, _COLUMNS))
+    for k, (a, b) in enumerate(zip(cut, cut[1:])):
+        table = np.zeros((len(sizes), _COLUMNS), np.float32)
+        table[row[a:b], number[a:b] - k * _COLUMNS] = 1
+        out += table[: len(one)] @ table[len(one) :].T
+    return out
+
+
+def _forest(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> Iterator[int]:
+    """The links that join different components, one after the other."""
+    root = {x: x for x in label.tolist()}
+
+    def find(x):
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    for k, (x, y) in enumerate(zip(label[a].tolist(), label[b].tolist())):
+        x, y = find(x), find(y)
+        if x != y:
+            root[x] = y
+            yield k
+
+
 def _across(percent: int):
-    """Pairs of different labels inside the blocks that share (key, first block, second block); rows come sorted by these."""
-    limit = furthest(percent)
+    """Links between different labels inside the blocks that share (family, x, y); rows come sorted by these."""
 
-    def pairs(side, node, label, n, signs):
+    def links(side, label, sets):
         one, two = np.flatnonzero(side <= 0), np.flatnonzero(side != 0)  # -1: a block against itself
-        two = one if side[0] < 0 else two
-        for x in one:
-            other = two[two > x] if side[0] < 0 else two
-            other = other[label[other] != label[x]]
-            near = 100 * np.minimum(n[other], n[x]) >= percent * np.maximum(n[other], n[x])
-            other = other[near]
-            other = other[(signs[other] != signs[x]).sum(axis=1) <= limit]
-            if len(other):
-                yield np.minimum(node[other], node[x]), np.maximum(node[other], node[x])
-
-    def out(held):
-        columns = [np.concatenate(c) for c in zip(*held)]
-        group = columns[0]
-        edge = np.flatnonzero(np.append(True, (group[1:] != group[:-1]).any(axis=1)))
-        for a, b in zip(edge, np.append(edge[1:], len(group))):
-            if b - a > 1:
-                for low, high in pairs(*[c[a:b] for c in columns[1:]]):
-                    yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["a", "b"])
+        if not len(one) or not len(two):
+            return
+        n = np.array([len(x) for x in sets])
+        both = common([sets[k] for k in one], [sets[k] for k in two])
+        linked = (label[one][:, None] != label[two]) & (100 * both >= percent * (n[one][:, None] + n[two] - both))
+        i, j = np.nonzero(linked)
+        i, j = one[i], two[j]
+        chosen = np.array(list(_forest(label, i, j)), np.int64)
+        if len(chosen):
+            yield pa.RecordBatch.from_arrays([pa.array(label[i[chosen]]), pa.array(label[j[chosen]])], ["a", "b"])
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list = []
+        now, held = None, []
         for batch in batches:
             if not batch.num_rows:
                 continue
             group = np.stack([batch.column(k).to_numpy() for k in range(3)], axis=1)
-            rest = [batch.column(k).to_numpy() for k in range(3, 7)] + [_decoded(batch.column(7))]
-            new = np.flatnonzero((group != group[-1]).any(axis=1))
-            cut = int(new[-1]) + 1 if len(new) else 0  # the last group may go on in the next batch
-            if held and (cut or (held[-1][0][-1] != group[0]).any()):
-                if (held[-1][0][-1] == group[0]).all():
-                    held.append([c[:cut] for c in (group, *rest)])
-                    group, rest = group[cut:], [c[cut:] for c in rest]
-                    cut = 0
-                yield from out(held)
-                held = []
-            if cut:
-                yield from out([[c[:cut] for c in (group, *rest)]])
-            held.append([c[cut:] for c in (group, *rest)])
+            side, label = (batch.column(k).to_numpy() for k in range(3, 5))
+            hashes, at = np.asarray(batch.column(5).flatten()), np.asarray(batch.column(5).offsets).astype(np.int64)
+            at -= at[0]
+            edge = np.flatnonzero(np.append(True, (group[1:] != group[:-1]).any(axis=1)))
+            for a, b in zip(edge, np.append(edge[1:], len(group))):
+                if now != tuple(group[a]):
+                    if held:
+                        yield from links(*_joined(held))
+                    now, held = tuple(group[a]), []
+                held.append((side[a:b], label[a:b], [hashes[at[k] : at[k + 1]] for k in range(a, b)]))
         if held:
-            yield from out(held)
+            yield from links(*_joined(held))
 
     return each
 
 
+def _joined(held: list) -> tuple:
+    side, label, sets = zip(*held)
+    return np.concatenate(side), np.concatenate(label), [x for own in sets for x in own]
+
+
 class _Corpus:
     """The rows and the folded nodes of a table, and confirmation of pairs on its full sets."""
 
@@ -249,16 +275,35 @@ class _Corpus:
         both = both.where(100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b")).select("a", "b", "s_a", "s_b")
         return materialise(both.mapInArrow(_possible(self.percent), "a bigint, b bigint"))
 
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose full sets are similar enough."""
-        wanted = materialise(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(self.nodes.select("node", "content", "name"), "node"))
+    def sets(self, wanted: DataFrame) -> DataFrame:
+        """(node, hashes) of the wanted nodes; wanted: (node)."""
+        wanted = materialise(wanted.distinct().join(self.nodes.select("node", "content", "name"), "node"))
         # texts are found by a hash; where two texts share it, the set's name decides
         found = self.texts.join(wanted, "content").select("node", "name", "text").distinct()
-        sets = materialise(found.mapInArrow(_sets_of(self.shingle), "node bigint, hashes array<bigint>"))
+        with small_batches(self.nodes.sparkSession, ROWS):
+            return materialise(found.mapInArrow(_sets_of(self.shingle), "node bigint, hashes array<bigint>"))
+
+    def confirmed(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) whose full sets are similar enough."""
+        sets = self.sets(pairs.select(F.explode(F.array("a", "b")).alias("node")))
         end = lambda side, name: sets.select(F.col("node").alias(side), F.col("hashes").alias(name))
         both = pairs.join(end("a", "x"), "a").join(end("b", "y"), "b")
-        common = F.size(F.array_intersect("x", "y"))
-        return materialise(both.where(100 * common >= self.percent * (F.size("x") + F.size("y") - common)).select("a", "b"))
+        shared = F.size(F.array_intersect("x", "y"))
+        return materialise(both.where(100 * shared >= self.percent * (F.size("x") + F.size("y") - shared)).select("a", "b"))
+
+    def between(self, members: DataFrame) -> DataFrame:
+        """Pairs of labels (a, b) that join all that linked nodes of a family have; members: (node, label, family)."""
+        sized = members.join(self.nodes.select("node", "n"), "node")
+        blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_HASHES)).alias("blocks")
+        blocks = materialise(sized.groupBy("family").agg(blocks))
+        mine, other = F.pmod(F.xxhash64("node"), F.col("blocks")), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+        dealt = sized.join(blocks, "family").select("family", "node", "label", mine.alias("mine"), other.alias("other"))
+        side = F.when(F.col("mine") == F.col("other"), -1).otherwise((F.col("mine") > F.col("other")).cast("int"))
+        dealt = dealt.select("family", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), side.alias("side"), "node", "label")
+        dealt = dealt.join(self.sets(members.select("node")), "node").select("family", "x", "y", "side", "label", "hashes")
+        dealt = dealt.repartition("family", "x", "y").sortWithinPartitions("family", "x", "y")
+        with small_batches(self.nodes.sparkSession, ROWS):
+            return materialise(dealt.mapInArrow(_across(self.percent), "a bigint, b bigint"))
 
 
 def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -281,20 +326,21 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shingl
     links = corpus.confirmed(stars)
     labels = components(links)
     labelled = materialise(met.join(labels, "node", "left").select("k", "node", F.coalesce("label", "node").alias("label")))
-    apart = labelled.groupBy("k").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("members")).where("low < high")
-    apart = materialise(apart.select("k", F.ceil(F.col("members") / BLOCK).alias("blocks")))
+    apart = labelled.groupBy("k").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    apart = materialise(apart.select("k", "low"))
+    final = nodes.join(labels, "node", "left").select("name", "first", F.coalesce("label", "node").alias("label"))
     if not apart.isEmpty():
-        mine, other = F.pmod(F.xxhash64("node"), F.col("blocks")), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-        dealt = labelled.join(apart, "k").select("k", "node", "label", mine.alias("mine"), other.alias("other"))
-        side = F.when(F.col("mine") == F.col("other"), -1).otherwise((F.col("mine") > F.col("other")).cast("int"))
-        dealt = dealt.select("k", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), side.alias("side"), "node", "label")
-        dealt = dealt.join(nodes.select("node", "n", "signs"), "node").select("k", "x", "y", "side", "node", "label", "n", "signs")
-        dealt = dealt.repartition("k", "x", "y").sortWithinPartitions("k", "x", "y")
-        rest = dealt.mapInArrow(_across(percent), "a bigint, b bigint").distinct().join(stars, ["a", "b"], "left_anti")
-        more = corpus.confirmed(materialise(rest))
+        meet = materialise(labelled.join(apart, "k"))
+        # keys of one smallest label, and keys that share a node with those, make up a family
+        lowest = materialise(meet.groupBy("node").agg(F.min("low").alias("lowest")))
+        meet = materialise(meet.join(lowest, "node").select("k", "node", "label", "lowest"))
+        family = materialise(meet.groupBy("k").agg(F.min("lowest").alias("family")))
+        members = materialise(meet.join(family, "k").select("node", "label", "family").distinct())
+        more = corpus.between(members)
         if not more.isEmpty():
-            labels = components(links.unionByName(more))
-    named = nodes.join(labels, "node", "left").select("name", "first", F.coalesce("label", "node").alias("label"))
+            joined = components(more).select(F.col("node").alias("label"), F.col("label").alias("of"))
+            final = final.join(joined, "label", "left").select("name", "first", F.coalesce("of", "label").alias("label"))
+    named = materialise(final)
     least = materialise(named.groupBy("label").agg(F.min("first").alias("component_id")))
     found = materialise(named.join(least, "label").select("name", "component_id"))
     out = corpus.rows.select("key", "n", "name").join(found, "name", "left")
