@@ -1,25 +1,25 @@
 """Overlays of polygon layers: dissolve, clip, erase, union, pairs, within, overlaps, zones.
 
-A layer is dissolved once per tile into the boundary of its union; every other operation
-then meets that boundary instead of the features, so thousands of zones over one place
-cost what their outline costs. Layer rows need an ``id`` that is unique, a ``shape`` and
-the box columns.
+Edges are cut into cells once (``cells``). A layer is dissolved per cell into the boundary
+of its union; every other operation then meets that boundary instead of the features, so
+thousands of zones over one place cost what their outline costs. Results come as areas, as
+disjoint pieces or as polygons (``*_polygons``, see ``rings``). Layer rows need an ``id``
+that is unique, a ``shape`` and the box columns.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldlens.functions import shapes
-from fieldlens.operators import grid, sweep
-from fieldlens.operators.tiling import TILE, TILE_BOX, split_factors, tiled
+from fieldlens.operators import cells, grid, rings, sweep
+from fieldlens.operators.cells import CELL
 from fieldlens.sources.schemas import BOX
 
 SIZE = 2000.0
-"""Tile edge in layer units; crowded tiles are cut further by themselves."""
-CAP = 64
+"""Cell edge in layer units; cells crowded with more than CAP edges are cut further by themselves."""
+CAP = 256
 REL_TOL = 1e-9
 
 
@@ -37,7 +37,7 @@ def zone(layer: DataFrame, distance: float, quarter_steps: int = 16) -> DataFram
     return layer.withColumns({"shape": shapes.make_shape("polygon", F.concat(own, rings)), **grown})
 
 
-CELL = ["_unit", "_cx", "_cy"]
+PAIR_CELL = ["_unit", "_cx", "_cy"]
 FINEST = 64
 """No ring is cut into more than FINEST cells along its longer side."""
 
@@ -78,14 +78,14 @@ def _ring_edges(rows: DataFrame, keys: list[str], parts: Column, side: int, with
     if within:
         cells = cells.withColumns({w: (F.greatest if i < 2 else F.least)(w, f"_b{i}") for i, w in enumerate(frame)})
     cells = cells.withColumn("_lone", shapes.make_shape("polygon", F.array("_ring")))
-    return sweep.edges_of(cells, [*keys, *CELL], {"_lone": side}, tuple(F.col(w) for w in frame), framed=True)
+    return sweep.edges_of(cells, [*keys, *PAIR_CELL], {"_lone": side}, tuple(F.col(w) for w in frame), framed=True)
 
 
 def shape_areas(layer: DataFrame, key: str = "id") -> DataFrame:
     """(key, area) of every feature, also where its rings overlap, as those of zones do."""
     parts = F.col("shape.parts")
     rows = layer.where(F.size(parts) > 0).select(key, "shape", _unit(parts).alias("_unit"))
-    s = sweep.strips(_ring_edges(rows, [key], parts, 0), [key, *CELL])
+    s = sweep.strips(_ring_edges(rows, [key], parts, 0), [key, *PAIR_CELL])
     return s.where("c0 > 0 and c2 > 0").groupBy(key).agg(F.sum(sweep.strip_area()).alias("area"))
 
 
@@ -95,54 +95,42 @@ def _geometry(layer: DataFrame) -> DataFrame:
     return layer.where(usable).select("shape", *BOX).distinct()
 
 
-def axis_parallel(*layers: DataFrame) -> bool:
-    """Whether no edge of the layers is slanting, so that none can cross; read from the data, up to the first that is."""
-    slant = F.exists(shapes.segments(F.col("shape")), lambda s: (s["ax"] != s["bx"]) & (s["ay"] != s["by"]))
-    return all(layer.where(slant).isEmpty() for layer in layers)
+def _union_strips(layer: DataFrame, dense: DataFrame, size: float) -> DataFrame:
+    """Cover strips of a layer (side 1) per cell, inside the cell (side 2)."""
+    edges = cells.grouped(cells.cut_edges(layer, [], size, dense), [], size)
+    return sweep.strips(cells.framed(edges, [], 1), CELL, placed=True)
 
 
-def _boxes(*layers: DataFrame) -> DataFrame:
-    out = layers[0].select(*BOX)
-    for layer in layers[1:]:
-        out = out.unionByName(layer.select(*BOX))
-    return out
-
-
-def _tile_strips(layer: DataFrame, factors: DataFrame, size: float) -> DataFrame:
-    """Cover strips of a layer per tile (side 1), inside the tile's window (side 2)."""
-    pieces = tiled(_geometry(layer), factors, size)
-    window = tuple(F.col(c) for c in TILE_BOX)
-    return sweep.strips(sweep.edges_of(pieces, TILE, {"shape": 1}, window, framed=True), TILE, axis_parallel(layer))
-
-
-def union_boundary(layer: DataFrame, factors: DataFrame, size: float) -> DataFrame:
-    """Edges of the layer's union per tile, with signed weights.
-
-    Edges under the tile count at its bottom border, so the boundary of a tile is
-    complete in itself.
-    """
-    s = _tile_strips(layer, factors, size)
-    covered = (F.col("c1") > 0) & (F.col("c2") > 0)
-    was = (F.col("b1") > 0) & (F.col("b2") > 0)
+def union_boundary(layer: DataFrame, dense: DataFrame, size: float) -> DataFrame:
+    """Edges of the layer's union per cell, with signed weights; what is covered at a cell's floor begins there."""
+    s = _union_strips(layer, dense, size)
+    covered, was = (F.col("c1") > 0) & (F.col("c2") > 0), (F.col("b1") > 0) & (F.col("b2") > 0)
     return s.where(covered != was).select(
-        *TILE,
-        F.col("xl").alias("ax"),
-        F.col("yl").alias("ay"),
-        F.col("xr").alias("bx"),
-        F.col("yr").alias("by"),
+        *CELL, F.col("xl").alias("ax"), F.col("yl").alias("ay"), F.col("xr").alias("bx"), F.col("yr").alias("by"),
         F.when(covered, 1).otherwise(-1).alias("w"),
-    )
+    )
+
+
+def _dissolved(layers: tuple[DataFrame, ...], size: float, cap: int) -> DataFrame:
+    both = cells.prepared(_geometry(_union_layer(layers)), [])
+    return _union_strips(both, cells.crowded(both, size=size, cap=cap), size)
 
 
 def dissolve(*layers: DataFrame, size: float = SIZE, cap: int = CAP) -> DataFrame:
     """The union of all shapes of one or more layers, as disjoint four-sided pieces.
 
-    Rows are (tile, shape, box, area). One row for the whole union would have to pass
+    Rows are (cell, shape, box, area). One row for the whole union would have to pass
     through one task; the pieces are the same area and add up (``union_area``).
     """
-    both = _union_layer(layers)
-    s = _tile_strips(both, split_factors(both, size, cap), size)
-    return _pieces(s.where((F.col("c1") > 0) & (F.col("c2") > 0)), TILE)
+    s = _dissolved(layers, size, cap)
+    return _pieces(s.where((F.col("c1") > 0) & (F.col("c2") > 0)), CELL)
+
+
+def dissolve_polygons(*layers: DataFrame, size: float = SIZE, cap: int = CAP) -> DataFrame:
+    """The union as one polygon for each shell with its holes: (part, shape, box, area)."""
+    s = _dissolved(layers, size, cap)
+    covered, was = (F.col("c1") > 0) & (F.col("c2") > 0), (F.col("b1") > 0) & (F.col("b2") > 0)
+    return rings.parts(rings.boundary(s, [], covered, was))
 
 
 def _union_layer(layers: tuple[DataFrame, ...]) -> DataFrame:
@@ -170,28 +158,22 @@ def _pieces(strips: DataFrame, keys: list[str]) -> DataFrame:
 
 def union_area(*layers: DataFrame, size: float = SIZE, cap: int = CAP) -> DataFrame:
     """One row: the area that the layers cover together."""
-    both = _union_layer(layers)
-    s = _tile_strips(both, split_factors(both, size, cap), size)
-    inside = s.where((F.col("c1") > 0) & (F.col("c2") > 0))
+    inside = _dissolved(layers, size, cap).where((F.col("c1") > 0) & (F.col("c2") > 0))
     return inside.agg(F.coalesce(F.sum(sweep.strip_area()), F.lit(0.0)).alias("area"))
 
 
 def _against(layer: DataFrame, other: DataFrame, key: str, size: float, cap: int) -> DataFrame:
-    """Strips of each feature (side 0) and the union of the other layer (side 1), per tile."""
-    factors = split_factors(_boxes(layer, _geometry(other)), size, cap)
-    outline = union_boundary(other, factors, size)
-    mine = tiled(layer.where(F.size("shape.parts") > 0).select(key, "shape", *BOX), factors, size)
-    window = (F.greatest("x0", "wx0"), F.greatest("y0", "wy0"), F.least("x1", "wx1"), F.least("y1", "wy1"))
-    mine = mine.where((window[0] < window[2]) & (window[1] < window[3]))
-    keys = [key, *TILE]
-    met = (
-        mine.select(*keys, window[0].alias("_lo"), window[2].alias("_hi"), window[3].alias("_top"))
-        .join(outline, TILE)
-        .where((F.col("ax") < F.col("_hi")) & (F.col("bx") > F.col("_lo")))
-        .withColumn("side", F.lit(1))
-    )
-    own = sweep.edges_of(mine, keys, {"shape": 0}, window, framed=True)
-    return sweep.strips(own.unionByName(sweep.cut(met, keys)), keys, axis_parallel(layer, other))
+    """Strips of each feature (side 0) and the union of the other layer (side 1), per cell."""
+    geometry, own = cells.prepared(_geometry(other), []), cells.prepared(layer, [key])
+    dense = cells.crowded(own, geometry, size=size, cap=cap)
+    outline = union_boundary(geometry, dense, size)
+    keys = [key, *CELL]
+    mine = cells.grouped(cells.cut_edges(own, [key], size, dense), [key], size)
+    edge = F.struct(*[F.col(c).alias(c) for c in ("ax", "ay", "bx", "by", "w")])
+    theirs = outline.groupBy(*CELL).agg(F.collect_list(edge).alias("_met")).withColumn("_first", F.lit(True))
+    # the outline of a cell goes to one edge of every feature there
+    met = mine.join(theirs, [*CELL, "_first"], "left")
+    return sweep.strips(cells.framed(met, [key], 0, F.col("_met")), keys)
 
 
 def areas_against(
@@ -215,8 +197,8 @@ def clip(layer: DataFrame, other: DataFrame, key: str = "id", **tiles) -> DataFr
     Rows that only touch it stay, with area 0 and ``touch_only``. The geometry itself is
     ``clip_pieces``. The exact touch test runs only on features without common area.
     """
-    # three narrow columns, read twice below; kept in memory or on disk and recomputed if lost
-    sizes = areas_against(layer, other, key, **tiles).persist(StorageLevel.MEMORY_AND_DISK)
+    # read twice below: both branches share one exchange
+    sizes = areas_against(layer, other, key, **tiles)
     inner = sizes.where(~_negligible(F.col("inside"), F.col("area"))).select(F.col(key).alias("_key"), "inside")
     rest = layer.join(inner, F.col(key) == F.col("_key"), "left_anti")
     touching = grid.matched_keys(rest, other, key).select(F.col(key).alias("_key"), F.lit(0.0).alias("inside"))
@@ -229,7 +211,21 @@ def clip(layer: DataFrame, other: DataFrame, key: str = "id", **tiles) -> DataFr
 def clip_pieces(layer: DataFrame, other: DataFrame, key: str = "id", size: float = SIZE, cap: int = CAP) -> DataFrame:
     """The clipped geometry as disjoint pieces per feature and tile."""
     s = _against(layer, other, key, size, cap)
-    return _pieces(s.where((F.col("c0") > 0) & (F.col("c1") > 0) & (F.col("c2") > 0)), [key, *TILE])
+    return _pieces(s.where((F.col("c0") > 0) & (F.col("c1") > 0) & (F.col("c2") > 0)), [key, *CELL])
+
+
+def _with_polygons(layer: DataFrame, found: DataFrame, key: str, area: str) -> DataFrame:
+    """The layer's attributes with the new shapes."""
+    rest = layer.drop("shape", *BOX)
+    named = found.withColumnsRenamed({key: "_key", "area": area})
+    return rest.join(named, F.col(key) == F.col("_key")).drop("_key")
+
+
+def clip_polygons(layer: DataFrame, other: DataFrame, key: str = "id", size: float = SIZE, cap: int = CAP) -> DataFrame:
+    """One row per feature with common area: its attributes and the clipped polygon. Touching ones are in ``clip``."""
+    s = _against(layer, other, key, size, cap)
+    both = lambda c: (F.col(f"{c}0") > 0) & (F.col(f"{c}1") > 0) & (F.col(f"{c}2") > 0)
+    return _with_polygons(layer, rings.polygons(rings.boundary(s, [key], both("c"), both("b")), [key]), key, "clip_area")
 
 
 def erase(layer: DataFrame, other: DataFrame, key: str = "id", **tiles) -> DataFrame:
@@ -242,18 +238,58 @@ def erase(layer: DataFrame, other: DataFrame, key: str = "id", **tiles) -> DataF
 def erase_pieces(layer: DataFrame, other: DataFrame, key: str = "id", size: float = SIZE, cap: int = CAP) -> DataFrame:
     """The remaining geometry as disjoint pieces per feature and tile."""
     s = _against(layer, other, key, size, cap)
-    return _pieces(s.where((F.col("c0") > 0) & (F.col("c1") <= 0) & (F.col("c2") > 0)), [key, *TILE])
+    return _pieces(s.where((F.col("c0") > 0) & (F.col("c1") <= 0) & (F.col("c2") > 0)), [key, *CELL])
+
+
+def erase_polygons(layer: DataFrame, other: DataFrame, key: str = "id", size: float = SIZE, cap: int = CAP) -> DataFrame:
+    """One row per feature of which something is left: its attributes and the remaining polygon."""
+    s = _against(layer, other, key, size, cap)
+    left = lambda c: (F.col(f"{c}0") > 0) & (F.col(f"{c}1") <= 0) & (F.col(f"{c}2") > 0)
+    return _with_polygons(layer, rings.polygons(rings.boundary(s, [key], left("c"), left("b")), [key]), key, "erase_area")
+
+
+def zone_polygons(layer: DataFrame, distance: float, key: str = "id", quarter_steps: int = 16, size: float = SIZE, cap: int = CAP) -> DataFrame:
+    """``zone`` with one outline per feature instead of a ring around every segment."""
+    zones = cells.prepared(zone(layer, distance, quarter_steps), [key])
+    edges = cells.grouped(cells.cut_edges(zones, [key], size, cells.crowded(zones, size=size, cap=cap)), [key], size)
+    s = sweep.strips(cells.framed(edges, [key], 0), [key, *CELL], placed=True)
+    covered = lambda c: (F.col(f"{c}0") > 0) & (F.col(f"{c}2") > 0)
+    return _with_polygons(layer, rings.polygons(rings.boundary(s, [key], covered("c"), covered("b")), [key]), key, "zone_area")
 
 
 def within_union(layer: DataFrame, other: DataFrame, key: str = "id", **tiles) -> DataFrame:
-    """Polygons that lie fully inside the dissolved other layer."""
+    """Polygons that lie fully inside the dissolved other layer; for points see ``points_within``."""
     sizes = areas_against(layer, other, key, **tiles)
     whole = sizes.where((F.col("area") > 0) & _negligible(F.col("area") - F.col("inside"), F.col("area")))
     return layer.join(whole.select(F.col(key).alias("_key")), F.col(key) == F.col("_key"), "left_semi")
 
 
+def points_within(points: DataFrame, other: DataFrame, key: str = "id", size: float = SIZE, cap: int = CAP) -> DataFrame:
+    """Points (columns x0, y0) in the interior of the dissolved other layer; points on its border are not.
+
+    Around a point there are four quadrants. Each belongs to one cell and is covered when the weights of the outline's
+    edges under it add up; the point is inside when all four are.
+    """
+    geometry = cells.prepared(_geometry(other), [])
+    dense = cells.crowded(geometry, size=size, cap=cap)
+    outline = union_boundary(geometry, dense, size)
+    side = F.explode(F.array(F.lit(-1), F.lit(1)))
+    index = lambda c, s, unit: F.when(F.col(s) > 0, F.floor(F.col(c) / unit)).otherwise(F.ceil(F.col(c) / unit) - 1)
+    spots = points.select(key, F.col("x0").cast("double").alias("_x"), F.col("y0").cast("double").alias("_y")).where("_x is not null and _y is not null")
+    quads = spots.withColumn("_h", side).withColumn("_v", side)
+    quads = quads.withColumns({"X": index("_x", "_h", size), "Y": index("_y", "_v", size)}).join(dense, ["X", "Y"], "left")
+    quads = quads.withColumn("tf", F.coalesce("tf", F.lit(1)))
+    unit = F.lit(float(size)) / F.col("tf")
+    quads = quads.withColumns({"cx": index("_x", "_h", unit), "cy": index("_y", "_v", unit)})
+    spans = F.when(F.col("_h") > 0, (F.col("ax") <= F.col("_x")) & (F.col("_x") < F.col("bx"))).otherwise((F.col("ax") < F.col("_x")) & (F.col("_x") <= F.col("bx")))
+    under = F.when(F.col("_v") > 0, sweep.height(F.col("_x")) <= F.col("_y")).otherwise(sweep.height(F.col("_x")) < F.col("_y"))
+    counts = quads.join(outline, CELL).where(spans & under).groupBy(key, "_h", "_v").agg(F.sum("w").alias("n")).where("n > 0")
+    inside = counts.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n = 4").select(F.col(key).alias("_key"))
+    return points.join(inside, F.col(key) == F.col("_key"), "left_semi")
+
+
 def _pair_strips(pairs: DataFrame, keys: list[str]) -> DataFrame:
-    """Strips that l (side 0) and r (side 1) share, inside the common box of each pair, per cell."""
+    """Strips of l (side 0) and r (side 1) inside the common box of each pair, per cell."""
     common = (F.greatest("l.x0", "r.x0"), F.greatest("l.y0", "r.y0"), F.least("l.x1", "r.x1"), F.least("l.y1", "r.y1"))
     common = tuple(c.cast("double") for c in common)
     sides = [F.col("l.shape.parts"), F.col("r.shape.parts")]
@@ -262,7 +298,11 @@ def _pair_strips(pairs: DataFrame, keys: list[str]) -> DataFrame:
     least = F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(span / FINEST, F.lit(1e-9)))))
     rows = pairs.withColumn("_unit", F.greatest(F.least(*[_unit(p) for p in sides]), least))
     edges = [_ring_edges(rows, keys, p, i, common) for i, p in enumerate(sides)]
-    return sweep.strips(edges[0].unionByName(edges[1]), [*keys, *CELL]).where("c0 > 0 and c1 > 0 and c2 > 0")
+    return sweep.strips(edges[0].unionByName(edges[1]), [*keys, *PAIR_CELL])
+
+
+def _shared(strips: DataFrame) -> DataFrame:
+    return strips.where("c0 > 0 and c1 > 0 and c2 > 0")
 
 
 def _smaller_box() -> Column:
@@ -293,7 +333,7 @@ def pair_areas(left: DataFrame, right: DataFrame, key: str = "id", on: Column |
     if _only_boxes(left, right):
         return pairs.select("a", "b", grid.box_overlap_area(*_pair_boxes()).alias("area")).where("area > 0")
     keys = ["a", "b", "_small"]
-    sums = _pair_strips(pairs.withColumn("_small", _smaller_box()), keys).groupBy(*keys).agg(F.sum(sweep.strip_area()).alias("area"))
+    sums = _shared(_pair_strips(pairs.withColumn("_small", _smaller_box()), keys)).groupBy(*keys).agg(F.sum(sweep.strip_area()).alias("area"))
     return sums.where(~_negligible(F.col("area"), F.col("_small"))).select("a", "b", "area")
 
 
@@ -312,7 +352,19 @@ def intersection(left: DataFrame, right: DataFrame, key: str = "id") -> DataFram
 
 def intersection_pieces(left: DataFrame, right: DataFrame, key: str = "id") -> DataFrame:
     """The common geometry of every pair as disjoint pieces."""
-    return _pieces(_pair_strips(_candidates(left, right, key), ["a", "b"]), ["a", "b"])
+    return _pieces(_shared(_pair_strips(_candidates(left, right, key), ["a", "b"])), ["a", "b"])
+
+
+def intersection_polygons(left: DataFrame, right: DataFrame, key: str = "id") -> DataFrame:
+    """One row per pair with common area: attributes of both sides and the common polygon."""
+    s = _pair_strips(_candidates(left, right, key), ["a", "b"])
+    both = lambda c: (F.col(f"{c}0") > 0) & (F.col(f"{c}1") > 0) & (F.col(f"{c}2") > 0)
+    found = rings.polygons(rings.boundary(s, ["a", "b"], both("c"), both("b")), ["a", "b"])
+    drop = {"shape", *BOX}
+    a = left.select(*[F.col(c).alias(f"left_{c}") for c in left.columns if c not in drop])
+    b = right.select(*[F.col(c).alias(f"right_{c}") for c in right.columns if c not in drop])
+    out = found.join(a, F.col("a") == F.col(f"left_{key}")).join(b, F.col("b") == F.col(f"right_{key}"))
+    return out.select(*a.columns, *b.columns, "shape", *BOX, "area")
 
 
 def touching_pairs(left: DataFrame, right: DataFrame, key: str = "id", name: str = "name") -> DataFrame:
@@ -331,7 +383,7 @@ def touching_pairs(left: DataFrame, right: DataFrame, key: str = "id", name: str
     keys = ["a", "b", "left_name", "right_name"]
     if boxes:
         return rows.select(*keys, grid.box_overlap_area(*_pair_boxes()).alias("area"))
-    parts = _pair_strips(rows, keys).select(*keys, sweep.strip_area().alias("area"))
+    parts = _shared(_pair_strips(rows, keys)).select(*keys, sweep.strip_area().alias("area"))
     return parts.unionByName(rows.select(*keys, F.lit(0.0).alias("area"))).groupBy(*keys).agg(F.sum("area").alias("area"))
 
 

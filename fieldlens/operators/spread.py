@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame
 
 
@@ -14,3 +16,18 @@ def spread(frame: DataFrame, *keys: str) -> DataFrame:
     """
     n = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return frame.repartition(n, *keys)
+
+
+def checkpointed(frame: DataFrame) -> DataFrame:
+    """Write a frame to the session's ``spark.checkpoint.dir`` and go on from there: iterations need a short lineage.
+
+    Only a local session without that setting gets a temporary folder; executors elsewhere could not read it.
+    """
+    spark = frame.sparkSession
+    context = spark.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
+    return frame.checkpoint()

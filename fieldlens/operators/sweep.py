@@ -127,25 +127,24 @@ def _cut_at_crossings(spans: DataFrame, keys: list[str]) -> DataFrame:
     return _between(found, keys, F.col("_cuts"), "xl", "xr")
 
 
-def strips(edges: DataFrame, keys: list[str], straight: bool = False) -> DataFrame:
+def strips(edges: DataFrame, keys: list[str], placed: bool = False) -> DataFrame:
     """All strips between neighbouring edges, with the cover count of each side.
 
-    ``straight`` tells that all edges are horizontal, so none can cross. Result: keys, xl,
+    ``placed`` tells that the edges are spread by the keys already. Result: keys, xl,
     xr, the lower edge (yl, yr), the upper edge (ul, ur), the counts c0, c1, c2 above the
-    lower edge, and the counts b1, b2 of sides 1 and 2 below it.
+    lower edge, and the counts b0, b1, b2 below it.
     """
     group = Window.partitionBy(*keys)
     vertices = F.sort_array(F.array_union(F.collect_set("ax").over(group), F.collect_set("bx").over(group)))
-    spans = _between(spread(edges, *keys).withColumn("_xs", vertices), keys, F.col("_xs"), "ax", "bx")
-    if not straight:
-        spans = _cut_at_crossings(spans, keys)
+    edges = edges if placed else spread(edges, *keys)
+    spans = _cut_at_crossings(_between(edges.withColumn("_xs", vertices), keys, F.col("_xs"), "ax", "bx"), keys)
     upward = Window.partitionBy(*keys, "xl").orderBy(F.col("yl") + F.col("yr"), F.desc("w"), "side")
     so_far = upward.rowsBetween(Window.unboundedPreceding, 0)
     counts = {
         c: F.coalesce(F.sum(F.when(F.col("side") == i, F.col("w"))).over(so_far), F.lit(0)) for i, c in enumerate(SIDES)
     }
     out = spans.withColumns({**counts, "ul": F.lead("yl").over(upward), "ur": F.lead("yr").over(upward)})
-    below = {f"b{i}": F.col(f"c{i}") - F.when(F.col("side") == i, F.col("w")).otherwise(0) for i in (1, 2)}
+    below = {f"b{i}": F.col(f"c{i}") - F.when(F.col("side") == i, F.col("w")).otherwise(0) for i in range(3)}
     return out.withColumns(below).drop("ax", "ay", "bx", "by")
 
 
