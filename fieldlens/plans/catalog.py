@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from fieldlens.functions import geodesy, shapes
 from fieldlens.operators import changes, crops, grid, integrity, nearest, overlay, profile, sampling, scenes
 from fieldlens.plans import register
-from fieldlens.plans.derived import FIELD, HOUSE, LAND, OBS, WEATHER, ZONE, boxes, derive, lines, table
+from fieldlens.plans.derived import FIELD, HOUSE, LAND, OBS, SPOT, WEATHER, ZONE, boxes, derive, holed, lines, long_roads, table, turned
 from fieldlens.sources import export, layers
 from fieldlens.sources.schemas import INT, LONG, TEXT, Field, Link, Table
 from pyspark.sql import types as T
@@ -348,6 +348,99 @@ def buffer_zones(spark, d):
     return zones.join(areas, F.col("id") == F.col("_id")).select("id", "x0", "y0", "x1", "y1", "area")
 
 
+def _corners(shape):
+    """The corners of all rings in sorted order, as whole numbers."""
+    open_ = F.transform(shape["parts"], lambda r: F.slice(r, F.lit(1), F.size(r) - 1))
+    whole = F.transform(F.flatten(open_), lambda p: F.struct(F.round(p["x"]).cast("long").alias("x"), F.round(p["y"]).cast("long").alias("y")))
+    return F.array_join(F.transform(F.array_sort(whole), lambda p: F.concat_ws(" ", p["x"].cast("string"), p["y"].cast("string"))), ";").alias("corners")
+
+
+@query
+def clip_polygons(spark, d):
+    out = overlay.clip_polygons(turned(boxes(spark, d, LAND)), turned(boxes(spark, d, ZONE)))
+    return out.select("id", F.round("clip_area", 3).alias("clip_area"), _corners(F.col("shape")))
+
+
+@query
+def erase_polygons(spark, d):
+    out = overlay.erase_polygons(turned(boxes(spark, d, LAND)), turned(boxes(spark, d, ZONE)))
+    return out.select("id", F.round("erase_area", 3).alias("erase_area"), _corners(F.col("shape")))
+
+
+@query
+def holes_clip(spark, d):
+    out = overlay.clip_polygons(turned(boxes(spark, d, LAND)), turned(holed(boxes(spark, d, ZONE))))
+    return out.select("id", F.round("clip_area", 3).alias("clip_area"), _corners(F.col("shape")))
+
+
+@query
+def intersection_polygons(spark, d):
+    out = overlay.intersection_polygons(turned(boxes(spark, d, LAND)), turned(boxes(spark, d, ZONE)))
+    return out.select("left_id", "right_id", F.round("area", 3).alias("area"), _corners(F.col("shape")))
+
+
+@query
+def dissolve_polygons(spark, d):
+    out = overlay.dissolve_polygons(turned(boxes(spark, d, ZONE)))
+    return out.select(F.round("area", 3).alias("area"), _corners(F.col("shape")))
+
+
+@query
+def union_outline(spark, d):
+    out = overlay.dissolve_polygons(turned(boxes(spark, d, LAND)), turned(boxes(spark, d, ZONE)))
+    open_ = F.transform(F.col("shape.parts"), lambda r: F.slice(r, F.lit(1), F.size(r) - 1))
+    spots = out.select(F.inline(F.flatten(open_)))
+    return spots.groupBy(F.round("x").cast("long").alias("x"), F.round("y").cast("long").alias("y")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def turned_union(spark, d):
+    out = overlay.union_area(turned(boxes(spark, d, LAND)), turned(boxes(spark, d, ZONE)))
+    return out.select(F.round("area", 2).alias("area"))
+
+
+@query
+def turned_within(spark, d):
+    return overlay.within_union(turned(boxes(spark, d, LAND)), turned(boxes(spark, d, ZONE))).select("id")
+
+
+@query
+def turned_overlaps(spark, d):
+    out = overlay.overlap_pairs(turned(boxes(spark, d, LAND)))
+    return out.select("a", "b", F.round("area", 3).alias("area"))
+
+
+@query
+def points_within(spark, d):
+    spots = derive(spark, d, SPOT).withColumns({"x0": F.col("x0") - F.col("y0"), "y0": F.col("x0") + F.col("y0")})
+    return overlay.points_within(spots, turned(boxes(spark, d, ZONE))).select("id")
+
+
+@query
+def zone_clip(spark, d):
+    out = overlay.clip_polygons(boxes(spark, d, LAND), overlay.zone(long_roads(spark, d), 200.0))
+    return out.select("id", F.round("clip_area", 2).alias("clip_area"))
+
+
+@query
+def zone_erase(spark, d):
+    out = overlay.erase(boxes(spark, d, LAND), overlay.zone(long_roads(spark, d), 200.0))
+    return out.select("id", F.round("erase_area", 2).alias("erase_area"))
+
+
+@query
+def zone_intersection(spark, d):
+    out = overlay.intersection(boxes(spark, d, LAND), overlay.zone_polygons(long_roads(spark, d), 200.0))
+    return out.select("left_id", "right_id", F.round("area", 2).alias("area"))
+
+
+@query
+def zone_polygons(spark, d):
+    out = overlay.zone_polygons(long_roads(spark, d), 200.0)
+    corners = F.size(F.flatten("shape.parts")) - F.size("shape.parts")
+    return out.select("id", F.round("zone_area", 2).alias("zone_area"), F.size("shape.parts").alias("rings"), corners.alias("corners"))
+
+
 @query
 def zone_members(spark, d):
     return nearest.within_distance(boxes(spark, d, LAND), lines(spark, d), 200.0)

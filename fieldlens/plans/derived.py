@@ -32,6 +32,10 @@ OBS = """select l_partkey pixel_id, (l_partkey*7919)%40000 x, (l_partkey*104729)
 WEATHER = """select user_id%4 cx, user_id%3 cy, ts, 280+value/20 temperature_2m,
   value/200000 total_precipitation from {events}"""
 
+ROAD = """select n_nationkey id, n_nationkey%2 upright, case when n_nationkey%2 = 0 then n_nationkey*1200+37
+  else n_nationkey*1500+211 end place from {nation}"""
+SPOT = """select c_custkey id, (c_custkey*6151)%800*50 x0, (c_custkey*50021)%620*50 y0 from {customer}"""
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "labels")
 
@@ -55,3 +59,24 @@ def lines(spark: SparkSession, folder: str) -> DataFrame:
     p = shapes.point
     ends = F.array(p(F.col("x0"), F.col("y0")), p(F.col("x1"), F.col("y1")))
     return derive(spark, folder, LINE).withColumn("shape", shapes.line_shape(ends))
+
+
+def long_roads(spark: SparkSession, folder: str, segments: int = 210, step: float = 200.0) -> DataFrame:
+    """Lines of many segments from end to end of the area, level or upright."""
+    along = F.transform(F.sequence(F.lit(0), F.lit(segments)), lambda i: i * step - 1000.0)
+    spot = lambda t: F.when(F.col("upright") == 1, shapes.point(F.col("place"), t)).otherwise(shapes.point(t, F.col("place")))
+    return shapes.with_bounds(derive(spark, folder, ROAD).select("id", shapes.line_shape(F.transform(along, spot)).alias("shape")))
+
+
+def turned(layer: DataFrame) -> DataFrame:
+    """A layer turned by 45 degrees and stretched by the root of two: whole numbers stay whole, areas double."""
+    moved = shapes.map_points(F.col("shape"), lambda p: shapes.point(p["x"] - p["y"], p["x"] + p["y"]))
+    return shapes.with_bounds(layer.withColumn("shape", moved))
+
+
+def holed(layer: DataFrame, rim: float = 100.0) -> DataFrame:
+    """Boxes with a hole that leaves a rim."""
+    c = F.col
+    ring = lambda x0, y0, x1, y1: F.array(*[shapes.point(x, y) for x, y in ((x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0))])
+    rings = F.array(ring(c("x0"), c("y0"), c("x1"), c("y1")), ring(c("x0") + rim, c("y0") + rim, c("x1") - rim, c("y1") - rim))
+    return layer.withColumn("shape", shapes.polygon_shape(rings))

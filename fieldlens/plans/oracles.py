@@ -171,6 +171,43 @@ ORACLE["near_line"] = _ab(dv.LAND, dv.LINE) + f"select a.id, round(sqrt(min({_GA
 ORACLE["distance_stats"] = _ab(dv.HOUSE, dv.LINE) + f""", n as (select a.id, sqrt(min({_GAP2})) d from a, b group by a.id)
 select round(min(d), 4) min_m, round(max(d), 4) max_m, round(avg(d), 4) mean_m from n"""
 
+# Turned layers: corners of 100 m cells by the cells that meet there (1 right above, 2 left above, 4 left below, 8 right
+# below); an odd number of them is a corner, two across from each other are two, and everything moves to (x - y, x + y).
+_CORNERS = lambda keys, cells: f""", k as ({cells}), v(dx, dy, bit) as (values (0, 0, 1), (1, 0, 2), (1, 1, 4), (0, 1, 8)),
+  m as (select {keys}, cx + dx px, cy + dy py, sum(bit) b from k, v group by all),
+  e as (select {keys}, (px - py) * 100 x, (px + py) * 100 y, unnest(range(case when b in (5, 10) then 2 when b in (1, 2, 4, 8, 7, 11, 13, 14) then 1 else 0 end)) from m),
+  c as (select {keys}, string_agg(x || ' ' || y, ';' order by x, y) corners from e group by {keys}),
+  s as (select {keys}, count(*) * 20000.0::double area from k group by {keys})"""
+_Z = ", z as (select distinct cx, cy from " + _CELLS("b") + ")"
+ORACLE["clip_polygons"] = _ab(dv.LAND, dv.ZONE) + _Z + _CORNERS("id", f"select distinct id, cx, cy from {_CELLS('a')} join z using (cx, cy)") + " select id, area clip_area, corners from s join c using (id)"
+ORACLE["erase_polygons"] = _ab(dv.LAND, dv.ZONE) + _Z + _CORNERS("id", f"select distinct id, cx, cy from {_CELLS('a')} anti join z using (cx, cy)") + " select id, area erase_area, corners from s join c using (id)"
+_RIM = ", h as (select id, x0 + 100 x0, y0 + 100 y0, x1 - 100 x1, y1 - 100 y1 from b), z as (select distinct cx, cy from " + _CELLS("b") + " anti join " + _CELLS("h") + " using (id, cx, cy))"
+ORACLE["holes_clip"] = _ab(dv.LAND, dv.ZONE) + _RIM + _CORNERS("id", f"select distinct id, cx, cy from {_CELLS('a')} join z using (cx, cy)") + " select id, area clip_area, corners from s join c using (id)"
+ORACLE["intersection_polygons"] = _ab(dv.LAND, dv.ZONE) + f""", p as (select a.id left_id, b.id right_id, 2*{_COMMON} area,
+  greatest(a.x0, b.x0) u0, least(a.x1, b.x1) u1, greatest(a.y0, b.y0) v0, least(a.y1, b.y1) v1 from a, b where {_COMMON} > 0),
+e as (select left_id, right_id, area, unnest([u0 - v0, u1 - v0, u1 - v1, u0 - v1]) x, unnest([u0 + v0, u1 + v0, u1 + v1, u0 + v1]) y from p)
+select left_id, right_id, area, string_agg(x || ' ' || y, ';' order by x, y) corners from e group by all"""
+_SIDE = "a.x0 <= b.x1 and a.x1 >= b.x0 and a.y0 <= b.y1 and a.y1 >= b.y0 and (a.x0 < b.x1 and a.x1 > b.x0 or a.y0 < b.y1 and a.y1 > b.y0)"
+ORACLE["dissolve_polygons"] = _with(b=dv.ZONE).replace("with ", "with recursive ", 1) + f""", r(id, part) as (select id, id from b union
+  select b.id, r.part from r join b a on a.id = r.id join b on {_SIDE}),
+p as (select id, min(part) part from r group by id)""" + _CORNERS("part", f"select distinct part, cx, cy from {_CELLS('b')} join p using (id)") + " select area, corners from s join c using (part)"
+ORACLE["union_outline"] = _ab(dv.LAND, dv.ZONE) + _CORNERS("o", f"select 1 o, cx, cy from (select cx, cy from {_CELLS('a')} union select cx, cy from {_CELLS('b')})") + " select x, y, count(*) n from e group by x, y"
+ORACLE["turned_union"] = ORACLE["union_area"].replace("count(*)*10000", "count(*)*20000")
+ORACLE["turned_within"] = ORACLE["within_union"]
+ORACLE["turned_overlaps"] = f"select a, b, 2*area area from ({ORACLE['overlap_pairs']})"
+ORACLE["points_within"] = _with(b=dv.ZONE, p=dv.SPOT) + _Z + f""", q as (select id, unnest([x0//100, x0//100, (x0+99)//100-1, (x0+99)//100-1]) cx,
+  unnest([y0//100, (y0+99)//100-1, y0//100, (y0+99)//100-1]) cy from p)
+select id from q join z using (cx, cy) group by id having count(*) = 4"""
+_STRIP = lambda up, lo, hi: f"coalesce((select sum(greatest(0, least({hi}, place + 200) - greatest({lo}, place - 200))) from r where upright = {up}), 0)"
+_ROADS = _with(a=dv.LAND, r=dv.ROAD) + f""", k as (select id, (x1-x0)*(y1-y0) whole, (x1-x0-{_STRIP(1, 'x0', 'x1')})*(y1-y0-{_STRIP(0, 'y0', 'y1')}) rest from a)"""
+ORACLE["zone_clip"] = _ROADS + " select id, (whole-rest)::double clip_area from k where whole > rest"
+ORACLE["zone_erase"] = _ROADS + " select id, rest::double erase_area from k where rest > 0"
+ORACLE["zone_intersection"] = _with(a=dv.LAND, r=dv.ROAD) + """, k as (select a.id left_id, r.id right_id, case when upright = 1
+  then greatest(0, least(x1, place + 200) - greatest(x0, place - 200))*(y1-y0) else greatest(0, least(y1, place + 200) - greatest(y0, place - 200))*(x1-x0) end::double area from a, r)
+select * from k where area > 0"""
+_LONG = 42000 * 400 + 0.5 * 64 * 200**2 * sin(2 * pi / 64)
+ORACLE["zone_polygons"] = _with(r=dv.ROAD) + f"select id, {round(_LONG, 2)}::double zone_area, 1 rings, 66 corners from r"
+
 _E = g._E
 _XI = " + ".join(f"{a!r}*sin({2*j}*xi)*cosh({2*j}*eta)" for j, a in enumerate(g._ALPHA, 1))
 _ETA = " + ".join(f"{a!r}*cos({2*j}*xi)*sinh({2*j}*eta)" for j, a in enumerate(g._ALPHA, 1))
