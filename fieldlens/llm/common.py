@@ -27,17 +27,24 @@ def materialise(frame: DataFrame) -> DataFrame:
     spark = frame.sparkSession
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or _own_folder(spark))
     return frame.checkpoint()
 
 
+def _own_folder(spark: SparkSession) -> str:
+    """A temporary folder for a local session without a shared one; executors elsewhere could not read it."""
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="checkpoint-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the session names for intermediates, in ``spark.checkpoint.dir`` or on the context."""
     known = spark.conf.get("spark.checkpoint.dir", None)
     if not known:
         context = spark.sparkContext._jsc.sc()
         if context.getCheckpointDir().isEmpty():
-            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoint-"))
+            spark.sparkContext.setCheckpointDir(_own_folder(spark))
         known = context.getCheckpointDir().get()
     return known.rstrip("/")
 
@@ -67,10 +74,22 @@ def small_batches(spark: SparkSession, rows: int):
         spark.conf.set(name, before)
 
 
+def _holds_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_holds_map(f.dataType) for f in kind)
+    return isinstance(kind, T.MapType) or isinstance(kind, T.ArrayType) and _holds_map(kind.elementType)
+
+
 def row_hash(frame: DataFrame) -> Column:
-    """A hash of all columns: together with the key it tells rows of a repeated key apart."""
-    kinds = {f.name: f.dataType for f in frame.schema}
-    return F.xxhash64(*[F.col(f"`{n}`") if not isinstance(k, T.MapType) else F.to_json(F.col(f"`{n}`")) for n, k in kinds.items()])
+    """A hash of all columns: together with the key it tells rows of a repeated key apart.
+
+    Each column counts with whether it is null, since a null alone would leave no trace of its place.
+    """
+    parts = []
+    for f in frame.schema:
+        c = F.col(f"`{f.name}`")
+        parts += [c.isNull(), F.to_json(F.struct(c)) if _holds_map(f.dataType) else c]
+    return F.xxhash64(*parts) if parts else F.lit(0).cast("long")
 
 
 def spare(frame: DataFrame, name: str) -> str:

@@ -29,6 +29,7 @@ from fieldlens.llm.columnar import flat, runs
 from fieldlens.llm.common import ROW_HASH, materialise, row_hash, spare
 
 RATE, RECALL, AGREE, SAMPLES, WALKS = 0.1, 0.95, 0.5, 4, 4
+STARTS = 16
 SHORTEST, LONGEST, GRAM = 40, 8000, 8
 SLICE = 8 << 20
 _CHUNK, _OVER, _HELD = 4 << 20, 3 * LONGEST, 32 << 20
@@ -176,7 +177,10 @@ class Index:
                 continue
             a, b = np.searchsorted(begins, bins * size), np.searchsorted(begins, (bins + 1) * size)
             start = begins[np.arange((b - a).sum()) - np.repeat(np.cumsum(b - a) - (b - a), b - a) + np.repeat(a, b - a)]
-            start = np.concatenate((start, bins[a == b] * size))  # a bin inside a long word
+            # and places between, since a passage may begin inside a word
+            step = max(2, size // STARTS)
+            start = np.unique(np.concatenate((start, (bins[:, None] * size + np.arange(0, size, step)).ravel())))
+            start = start[start < len(data)]
             row = np.searchsorted(offsets, start, "right") - 1
             fits = offsets[row + 1] - start >= own.low - 2 * own.edits
             if fits.any():

@@ -21,22 +21,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldlens.llm.columnar import Spans, runs
-from fieldlens.llm.common import held_out
+from fieldlens.llm.common import held_out, materialise
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLE, FOLDS, FOLD = 3000, 4, 2
 SMOOTH, FLOOR = 0.5, 1e-6
 UNKNOWN = "und"
-WORD_BYTES = 48
 _SLICE, _CACHE, _BITS = 4 << 20, 400_000, 22
 _WORDS = 20_000  # words of one forward pass
-_SALTS = 64
+_PARTS = 16  # bits of the hash that name a range
 _OTHER = re.compile(r"[\W\d_]+")
 _MARK = "▁"
 
 
 def _slices(column: pa.Array) -> Iterator[tuple[np.ndarray, pa.Array]]:
-    """(rows, texts) of bounded size; a very long text comes in parts cut at a blank."""
+    """(rows, texts) of bounded size; a very long text comes in parts cut at blanks, never inside a word."""
     sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
     offsets = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
     for i, j in runs(offsets, 1 << 20, _SLICE):
@@ -46,8 +45,9 @@ def _slices(column: pa.Array) -> Iterator[tuple[np.ndarray, pa.Array]]:
         text, at = column[i].as_py(), 0
         while at < len(text):
             end = min(at + _SLICE // 2, len(text))
-            cut = text.rfind(" ", at, end) + 1 if end < len(text) else end
-            end = cut if cut > at else end
+            if end < len(text):
+                cut = text.rfind(" ", at, end) + 1 or text.find(" ", end) + 1
+                end = cut or len(text)
             yield np.array([i]), pa.array([text[at:end]])
             at = end
 
@@ -93,18 +93,7 @@ class Model:
 
     def forward(self, words: list[str]) -> np.ndarray:
         """Log of the sum over all segmentations, per word and language."""
-        coded, own = [], []
-        for n, w in enumerate(words):
-            b = (_MARK + w).encode()
-            while len(b) > WORD_BYTES:  # an overlong word is scored in parts
-                cut = WORD_BYTES
-                while b[cut] & 0xC0 == 0x80:
-                    cut -= 1
-                coded.append(b[:cut])
-                own.append(n)
-                b = b[cut:]
-            coded.append(b)
-            own.append(n)
+        coded = [(_MARK + w).encode() for w in words]
         data, size = np.frombuffer(b"".join(coded), np.uint8), np.array([len(b) for b in coded])
         start = np.concatenate(([0], np.cumsum(size)))
         word = np.repeat(np.arange(len(size)), size)
@@ -137,20 +126,18 @@ class Model:
         step = end - start[of]
         order = np.lexsort((end, step))
         begin, end, chance, of, step = begin[order], end[order], chance[order], of[order], step[order]
-        # a cell for each byte and one more per word: the sums before the byte
-        sums = np.zeros((len(data) + len(size), len(self.langs)))
-        sums[start[:-1] + np.arange(len(size))] = 1
-        source, target = begin + of, end + of
+        # a cell for each byte and one more per word: the logs of the sums before the byte
+        sums = np.full((len(data) + len(size), len(self.langs)), -np.inf)
+        sums[start[:-1] + np.arange(len(size))] = 0
+        source, target, chance = begin + of, end + of, np.log(chance)
         cuts = np.flatnonzero(np.diff(step, prepend=-1))
         for a, b in zip(cuts, np.append(cuts[1:], len(step))):
             new = np.flatnonzero(np.diff(target[a:b], prepend=-1))
-            sums[target[a:b][new]] = np.add.reduceat(sums[source[a:b]] * chance[a:b], new, axis=0)
-        log = np.log(np.maximum(sums[start[1:] + np.arange(len(size))], 1e-300))
-        if len(own) == len(words):
-            return log
-        out = np.zeros((len(words), len(self.langs)))
-        np.add.at(out, own, log)
-        return out
+            terms = sums[source[a:b]] + chance[a:b]
+            most = np.maximum.reduceat(terms, new, axis=0)  # finite: every sign is a piece of its own
+            rest = np.add.reduceat(np.exp(terms - np.repeat(most, np.diff(np.append(new, b - a)), axis=0)), new, axis=0)
+            sums[target[a:b][new]] = most + np.log(rest)
+        return sums[start[1:] + np.arange(len(size))]
 
     def _word_scores(self, raw: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Scores and whether there is a letter, for raw words; remembered as long as the memory bound allows."""
@@ -198,9 +185,15 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     free = docs.where(F.col(lang).isNotNull() & ~held_out(key, FOLDS, FOLD))
     counts = {r[lang]: r["count"] for r in free.groupBy(lang).count().collect()}  # a row per language
     keys = free.select(F.col(key).alias("k"), F.col(lang).alias("lang"), F.xxhash64(key).alias("h"))
-    # the first of each salt, then the first of those: no task ranks a whole language
-    for part in (["lang", F.pmod("h", F.lit(_SALTS))], ["lang"]):
-        keys = keys.withColumn("n", F.row_number().over(Window.partitionBy(*part).orderBy("h", "k"))).where(F.col("n") <= sample)
+    keys = keys.withColumn("part", F.shiftright("h", 64 - _PARTS))
+    # a histogram of hash ranges tells the range that the sample ends in; only that one is ranked
+    parts = keys.groupBy("lang", "part").count()
+    before = F.coalesce(F.sum("count").over(Window.partitionBy("lang").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = materialise(parts.withColumn("before", before).where(F.col("before") < sample))
+    keys = keys.join(parts, ["lang", "part"])
+    whole = F.col("before") + F.col("count") <= sample
+    last = keys.where(~whole).withColumn("n", F.row_number().over(Window.partitionBy("lang", "part").orderBy("h", "k"))).where(F.col("before") + F.col("n") <= sample)
+    keys = keys.where(whole).select("k", "lang").unionByName(last.select("k", "lang"))
     picked = free.select(F.col(key).alias("k"), F.col(lang).alias("lang"), F.col(text).alias("t"))
     picked = picked.join(keys.select("k", "lang").distinct(), ["k", "lang"], "left_semi")
 

@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldlens.llm.common import materialise
+from fieldlens.llm.common import materialise, spare
 
 BLOCK_TOKENS, ENTROPY, REPEATS, SEED = 20_000, 0.97, 4.0, "mix"
 _SECTIONS, _ROUNDS, _FAN = 16, 6, 256
@@ -80,13 +80,16 @@ def mixture(docs: DataFrame, key: str = "doc_id", text: str = "text", source: st
     the block), budget (of the source). Ordering by ``start_tokens / budget`` interleaves the sources at their weights.
     ``budget`` is the tokens to spend in all, by default as many as there are. ``entropy`` is a share of that of equal
     weights. A block that straddles the budget gives its documents in the order of a key hash until the budget is
-    spent; the document that reaches it is the last. Documents without tokens are not used. A null source is a source
-    of its own. Repeated rows count each; an empty table gives an empty result.
+    spent; the document that reaches it is the last, also among rows of one key and length. Documents without tokens are
+    not used. A null source is a source of its own. Repeated rows count each; an empty table gives an empty result.
+    Where a carried column has the name of an added one, the added one gets an underscore.
     """
     order = F.coalesce(F.col("key_text"), F.lit("-"))
+    own = list(dict.fromkeys([key, source, *carry]))
+    of = lambda c: F.col(f"`{c}`")
     base = docs.select(
-        F.col(key), F.col(source), *[F.col(c) for c in carry if c not in (key, source)], words(F.col(text)).alias("n_tokens"),
-        F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("")).alias("source_key"), F.col(key).cast("string").alias("key_text"),
+        F.struct(*[of(c) for c in own]).alias("row"), words(of(text)).alias("n_tokens"),
+        F.coalesce(F.concat(F.lit("="), of(source).cast("string")), F.lit("")).alias("source_key"), of(key).cast("string").alias("key_text"),
     ).withColumns({"spot": draw(F.lit(SEED), order), "rank": draw(F.lit("within"), order)})
     narrow = materialise(base.select("source_key", "key_text", "n_tokens", "spot", "rank"))
     totals = materialise(narrow.groupBy("source_key").agg(F.sum("n_tokens").alias("total")))
@@ -109,12 +112,21 @@ def mixture(docs: DataFrame, key: str = "doc_id", text: str = "text", source: st
     placed = materialise(placed.select("source_key", "pass", "block", "size", "start_tokens", "budget"))
     # the one block of each source that the budget cuts
     cut = placed.where("start_tokens + size > budget")
-    own = narrow.join(plan.select("source_key", "blocks"), "source_key").select("source_key", at_block, "key_text", "n_tokens", "rank")
+    narrowed = narrow.join(plan.select("source_key", "blocks"), "source_key").select("source_key", at_block, "key_text", "n_tokens", "rank")
     spent = Window.partitionBy("source_key", "block").orderBy("rank", "key_text", "n_tokens").rowsBetween(Window.unboundedPreceding, -1)
-    cut_docs = own.join(cut, ["source_key", "block"]).withColumn("before", F.coalesce(F.sum("n_tokens").over(spent), F.lit(0)))
-    late = cut_docs.where("start_tokens + before < budget").groupBy("source_key", "block", "pass").agg(F.max(F.struct("rank", "key_text", "n_tokens")).alias("last"))
+    cut_docs = narrowed.join(cut, ["source_key", "block"]).withColumn("before", F.coalesce(F.sum("n_tokens").over(spent), F.lit(0)))
+    late = cut_docs.groupBy("source_key", "block", "pass", "rank", "key_text", "n_tokens").agg(
+        F.count_if(F.col("start_tokens") + F.col("before") < F.col("budget")).alias("allowed"), F.count(F.lit(1)).alias("alike"))
+    late = late.where("allowed > 0").groupBy("source_key", "block", "pass").agg(F.max(F.struct("rank", "key_text", "n_tokens", "allowed", "alike")).alias("last"))
     placed = materialise(placed.join(late, ["source_key", "block", "pass"], "left"))
     rows = base.where("n_tokens > 0").join(plan.select("source_key", "blocks"), "source_key").withColumn("block", F.col("spot") % F.col("blocks"))
     out = rows.join(placed, ["source_key", "block"])
-    out = out.where((F.col("start_tokens") + F.col("size") <= F.col("budget")) | (F.struct("rank", "key_text", "n_tokens") <= F.col("last")))
-    return out.select(key, source, *[c for c in carry if c not in (key, source)], "n_tokens", "pass", "block", "start_tokens", "budget")
+    me, last = F.struct("rank", "key_text", "n_tokens"), F.struct("last.rank", "last.key_text", "last.n_tokens")
+    whole = F.col("start_tokens") + F.col("size") <= F.col("budget")
+    out = out.where(whole | (me <= last))
+    if not placed.where("last.alike > last.allowed").isEmpty():
+        # rows of one key and length at the cut: as many as the budget takes
+        tie = Window.partitionBy("source_key", "block", "pass", F.when(whole | (me < last), F.xxhash64("row")), whole | (me < last)).orderBy(F.xxhash64("row"))
+        out = out.withColumn("nth", F.row_number().over(tie)).where(whole | (me < last) | (F.col("nth") <= F.col("last.allowed")))
+    added = [F.col(c).alias(spare(docs.select(*[of(o) for o in own]), c)) for c in ("n_tokens", "pass", "block", "start_tokens", "budget")]
+    return out.select(*[F.col("row").getField(c).alias(c) for c in own], *added)
