@@ -29,7 +29,7 @@ from fieldlens.llm.columnar import flat, runs
 from fieldlens.llm.common import ROW_HASH, materialise, row_hash, spare
 
 RATE, RECALL, AGREE, SAMPLES, WALKS = 0.1, 0.95, 0.5, 4, 4
-STARTS = 16
+STARTS = 8
 SHORTEST, LONGEST, GRAM = 40, 8000, 8
 SLICE = 8 << 20
 _CHUNK, _OVER, _HELD = 4 << 20, 3 * LONGEST, 32 << 20
