@@ -158,19 +158,56 @@ def segment_distance(s: Column, t: Column) -> Column:
     return F.when(segments_meet(s, t), F.lit(0.0)).otherwise(apart)
 
 
-def capsule(s: Column, d: Column, steps: int) -> Column:
-    """Ring around a segment at distance d: two half circles of ``2 * steps`` chords."""
-    heading = F.atan2(s["by"] - s["ay"], s["bx"] - s["ax"])
-    quarter = F.lit(3.141592653589793 / 2)
-
-    def arc(x: Column, y: Column, start: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(0), F.lit(2 * steps)),
-            lambda k: point(x + d * F.cos(start + k * quarter / steps), y + d * F.sin(start + k * quarter / steps)),
+def band(part: Column, d: Column, steps: int) -> Column:
+    """Rings whose union is all within distance d of a line: one for each segment, arcs of ``steps`` chords a quarter circle.
+
+    A ring is the segment's rectangle, with the wedge that a bend opens on its outer side at the end, and half circles at
+    both ends of the line. Where rings meet they share their edges in opposite directions, so under cover counting only the
+    outline and the inner sides of bends are left. Repeated vertices count once; a lone point gives its circle.
+    """
+    quarter = 3.141592653589793 / 2
+
+    def fresh(p: Column, i: Column, all_: Column) -> Column:
+        before = F.get(all_, i - 1)
+        return (i == 0) | (p["x"] != before["x"]) | (p["y"] != before["y"])
+
+    once = lambda value, fn: F.element_at(F.transform(F.array(value), fn), 1)
+
+    def heading(s: Column) -> Column:
+        return s.withField("h", F.atan2(s["by"] - s["ay"], s["bx"] - s["ax"]))
+
+    def bent(s: Column, i: Column, all_: Column) -> Column:
+        raw = F.get(all_, i + 1)["h"] - s["h"]
+        return s.withField("next", F.get(all_, i + 1)["h"]).withField("raw", raw)
+
+    def wrapped(s: Column) -> Column:
+        bend = F.when(s["raw"] > 2 * quarter, s["raw"] - 4 * quarter).when(s["raw"] <= -2 * quarter, s["raw"] + 4 * quarter).otherwise(s["raw"])
+        return s.withField("bend", bend).withField("n", F.greatest(F.ceil(F.abs(bend) / (quarter / steps) - 1e-9), F.lit(1)).cast("int"))
+
+    def spot(x: Column, y: Column, angle: Column) -> Column:
+        return point(x + d * F.cos(angle), y + d * F.sin(angle))
+
+    def half(x: Column, y: Column, start: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.lit(2 * steps)), lambda k: spot(x, y, start + k * quarter / steps))
+
+    def ring(s: Column, i: Column) -> Column:
+        ax, ay, bx, by = s["ax"], s["ay"], s["bx"], s["by"]
+        left, right = s["h"] + quarter, s["h"] - quarter
+        at = point(bx, by)
+        # the last offset is the next segment's first, taken from its heading, so that both rings have the same point
+        outward = lambda side, ks: F.transform(ks, lambda k: spot(bx, by, side + s["bend"] * k / s["n"]))
+        end = (
+            F.when(s["next"].isNull(), half(bx, by, right))
+            .when(s["bend"] > 0, F.concat(outward(right, F.sequence(F.lit(0), s["n"] - 1)), F.array(spot(bx, by, s["next"] - quarter), at, spot(bx, by, left))))
+            .when(s["bend"] < 0, F.concat(F.array(spot(bx, by, right), at, spot(bx, by, s["next"] + quarter)), outward(left, F.sequence(s["n"] - 1, F.lit(0), F.lit(-1)))))
+            .otherwise(F.array(spot(bx, by, right), at, spot(bx, by, left)))
         )
+        start = F.when(i == 0, half(ax, ay, left)).otherwise(F.array(spot(ax, ay, left), point(ax, ay), spot(ax, ay, right)))
+        return once(F.concat(end, start), lambda r: F.concat(r, F.slice(r, 1, 1)))
 
-    ring = F.concat(arc(s["bx"], s["by"], heading - quarter), arc(s["ax"], s["ay"], heading + quarter))
-    return F.concat(ring, F.slice(ring, 1, 1))
+    segs = F.transform(ring_segments(once(part, lambda all_: F.filter(all_, lambda p, i: fresh(p, i, all_)))), heading)
+    bends = F.transform(once(segs, lambda all_: F.transform(all_, lambda s, i: bent(s, i, all_))), wrapped)
+    return F.transform(bends, ring)
 
 
 def map_points(shape: Column, fn) -> Column:

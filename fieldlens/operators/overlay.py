@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from fieldlens.functions import shapes
 from fieldlens.operators import cells, grid, rings, sweep
 from fieldlens.operators.cells import CELL
+from fieldlens.operators.spread import checkpointed
 from fieldlens.sources.schemas import BOX
 
 SIZE = 2000.0
@@ -24,17 +25,18 @@ REL_TOL = 1e-9
 
 
 def zone(layer: DataFrame, distance: float, quarter_steps: int = 16) -> DataFrame:
-    """One buffer zone per feature: a capsule around every segment plus the polygon itself.
+    """One buffer zone per feature: a band along every line or ring plus the polygon itself.
 
-    The rings overlap; under cover counting that is their union. Attributes are kept.
+    The rings overlap at the inner sides of bends; under cover counting that is their union. Attributes are kept.
     """
-    segs = shapes.segments(F.col("shape"))
-    rings = F.transform(segs, lambda s: shapes.capsule(s, F.lit(float(distance)), quarter_steps))
+    rings = F.flatten(F.transform(F.col("shape.parts"), lambda p: shapes.band(p, F.lit(float(distance)), quarter_steps)))
     own = F.when(F.col("shape.kind") == "polygon", F.col("shape.parts")).otherwise(
         F.array().cast(layer.schema["shape"].dataType["parts"].dataType)
     )
     grown = {c: F.col(c) + (distance if c in ("x1", "y1") else -distance) for c in BOX}
-    return layer.withColumns({"shape": shapes.make_shape("polygon", F.concat(own, rings)), **grown})
+    # made in a generator of one row, which the optimizer neither copies into later filters nor works out twice
+    made = layer.withColumn("_zone", F.explode(F.array(shapes.make_shape("polygon", F.concat(own, rings)))))
+    return made.withColumns({"shape": F.col("_zone"), **grown}).drop("_zone")
 
 
 PAIR_CELL = ["_unit", "_cx", "_cy"]
@@ -250,7 +252,7 @@ def erase_polygons(layer: DataFrame, other: DataFrame, key: str = "id", size: fl
 
 def zone_polygons(layer: DataFrame, distance: float, key: str = "id", quarter_steps: int = 16, size: float = SIZE, cap: int = CAP) -> DataFrame:
     """``zone`` with one outline per feature instead of a ring around every segment."""
-    zones = cells.prepared(zone(layer, distance, quarter_steps), [key])
+    zones = checkpointed(cells.prepared(zone(layer, distance, quarter_steps), [key]))
     edges = cells.grouped(cells.cut_edges(zones, [key], size, cells.crowded(zones, size=size, cap=cap)), [key], size)
     s = sweep.strips(cells.framed(edges, [key], 0), [key, *CELL], placed=True)
     covered = lambda c: (F.col(f"{c}0") > 0) & (F.col(f"{c}2") > 0)

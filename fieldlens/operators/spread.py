@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame
 
@@ -19,15 +20,20 @@ def spread(frame: DataFrame, *keys: str) -> DataFrame:
 
 
 def checkpointed(frame: DataFrame) -> DataFrame:
-    """Write a frame to the session's ``spark.checkpoint.dir`` and go on from there: iterations need a short lineage.
+    """Write a frame as Parquet to the session's ``spark.checkpoint.dir`` and go on from there: iterations need a short lineage.
 
-    Only a local session without that setting gets a temporary folder; executors elsewhere could not read it.
+    A table read again carries none of the constraints and partitionings that a checkpointed plan keeps, which would
+    double with every self-join of a loop and let planning take minutes. Only a local session without that setting gets a
+    temporary folder; executors elsewhere could not read it.
     """
     spark = frame.sparkSession
-    context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder and not context.master.startswith("local"):
+    found = spark.sparkContext._jsc.sc().getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or (found.get() if found.isDefined() else None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
-    return frame.checkpoint()
+        folder = tempfile.mkdtemp(prefix="checkpoint-")
+        spark.sparkContext.setCheckpointDir(folder)
+    path = f"{folder.rstrip('/')}/step-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
