@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldlens.functions import geodesy, shapes
-from fieldlens.operators import changes, crops, grid, integrity, nearest, overlay, profile, sampling, scenes
+from fieldlens.operators import changes, crops, grid, integrity, nearest, overlay, profile, sampling, scenes, validity
 from fieldlens.plans import register
-from fieldlens.plans.derived import FIELD, HOUSE, LAND, OBS, SPOT, WEATHER, ZONE, boxes, derive, holed, lines, long_roads, table, turned
+from fieldlens.plans.derived import FIELD, HOUSE, LAND, OBS, SPOT, WEATHER, ZONE, boxes, derive, flawed, holed, lines, long_roads, table, turned
 from fieldlens.sources import export, layers
 from fieldlens.sources.schemas import INT, LONG, TEXT, Field, Link, Table
 from pyspark.sql import types as T
@@ -416,6 +416,11 @@ def points_within(spark, d):
     return overlay.points_within(spots, turned(boxes(spark, d, ZONE))).select("id")
 
 
+@query
+def invalid_polygons(spark, d):
+    return validity.invalid_polygons(flawed(boxes(spark, d, LAND)))
+
+
 @query
 def zone_clip(spark, d):
     out = overlay.clip_polygons(boxes(spark, d, LAND), overlay.zone(long_roads(spark, d), 200.0))

@@ -80,3 +80,18 @@ def holed(layer: DataFrame, rim: float = 100.0) -> DataFrame:
     ring = lambda x0, y0, x1, y1: F.array(*[shapes.point(x, y) for x, y in ((x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0))])
     rings = F.array(ring(c("x0"), c("y0"), c("x1"), c("y1")), ring(c("x0") + rim, c("y0") + rim, c("x1") - rim, c("y1") - rim))
     return layer.withColumn("shape", shapes.polygon_shape(rings))
+
+
+def flawed(layer: DataFrame) -> DataFrame:
+    """Boxes with a hole; by the id's remainder of 5: 0 a bow-tie, 1 the hole beside the shell, 2 a shell in the shell, 3 a hole over the rim."""
+    c, rest = F.col, F.col("id") % 5
+    path = lambda *spots: F.array(*[shapes.point(x, y) for x, y in spots])
+    box = lambda x0, y0, x1, y1: path((x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0))
+    tie = path((c("x0"), c("y0")), (c("x1"), c("y1")), (c("x1"), c("y0")), (c("x0"), c("y1")), (c("x0"), c("y0")))
+    shell, small = box(*[c(k) for k in ("x0", "y0", "x1", "y1")]), box(c("x0") + 20, c("y0") + 20, c("x0") + 60, c("y0") + 60)
+    moved = lambda by: F.reverse(F.transform(small, lambda p: shapes.point(p["x"] - by, p["y"])))
+    parts = (
+        F.when(rest == 0, F.array(tie)).when(rest == 1, F.array(shell, moved(90))).when(rest == 2, F.array(shell, small))
+        .when(rest == 3, F.array(shell, moved(40))).otherwise(F.array(shell, moved(0)))
+    )
+    return shapes.with_bounds(layer.withColumn("shape", shapes.make_shape("polygon", parts)))

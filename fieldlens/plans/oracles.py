@@ -195,6 +195,8 @@ ORACLE["union_outline"] = _ab(dv.LAND, dv.ZONE) + _CORNERS("o", f"select 1 o, cx
 ORACLE["turned_union"] = ORACLE["union_area"].replace("count(*)*10000", "count(*)*20000")
 ORACLE["turned_within"] = ORACLE["within_union"]
 ORACLE["turned_overlaps"] = f"select a, b, 2*area area from ({ORACLE['overlap_pairs']})"
+ORACLE["invalid_polygons"] = _with(a=dv.LAND) + """select id, case id%5 when 1 then 'hole outside its shell' when 2 then 'shell inside a shell'
+  else 'edges cross' end reason from a where id%5 <> 4"""
 ORACLE["points_within"] = _with(b=dv.ZONE, p=dv.SPOT) + _Z + f""", q as (select id, unnest([x0//100, x0//100, (x0+99)//100-1, (x0+99)//100-1]) cx,
   unnest([y0//100, (y0+99)//100-1, y0//100, (y0+99)//100-1]) cy from p)
 select id from q join z using (cx, cy) group by id having count(*) = 4"""
