@@ -22,6 +22,8 @@ UNIT = 1.0
 STEP = 4
 MIN_LEVEL = -24
 """Cell edge 4**-24: points get this level, or the finest that the other side uses."""
+DIRECT = 4096
+"""Pairs of at most so many segment pairs are tested inside their row, larger ones by joins of segments."""
 
 
 def _level() -> Column:
@@ -64,11 +66,8 @@ def _owner(name: str, level: Column) -> Column:
     return F.struct(F.lit(name).alias("owner"), level.alias("level"))
 
 
-def box_pairs(left: DataFrame, right: DataFrame, on: Column | None = None) -> DataFrame:
-    """Pairs whose closed boxes meet, as columns ``l`` and ``r`` holding the rows.
-
-    ``on`` is an extra condition over ``l`` and ``r`` tested inside the join.
-    """
+def _keyed(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame, Column]:
+    """Both sides at the cells where they meet, as rows ``l`` and ``r``, and the condition that joins them."""
     a, b = _located(left), _located(right)
     a, b = a.withColumn("_other", _levels(b)), b.withColumn("_other", _levels(a))
     own, other = F.col("_level"), F.col("_other")
@@ -96,11 +95,23 @@ def box_pairs(left: DataFrame, right: DataFrame, on: Column | None = None) -> Da
     cond = F.lit(True)
     for n in names:
         cond = cond & (F.col(f"a_{n}") == F.col(f"b_{n}"))
-    box_l, box_r = (tuple(F.col(f"{s}.{c}") for c in BOX) for s in "lr")
+    return ka, kb, cond & shapes.boxes_meet(*_row_boxes())
+
+
+def _row_boxes() -> tuple[tuple[Column, ...], tuple[Column, ...]]:
+    return tuple(tuple(F.col(f"{s}.{c}") for c in BOX) for s in "lr")
+
+
+def box_pairs(left: DataFrame, right: DataFrame, on: Column | None = None) -> DataFrame:
+    """Pairs whose closed boxes meet, as columns ``l`` and ``r`` holding the rows.
+
+    ``on`` is an extra condition over ``l`` and ``r`` tested inside the join.
+    """
+    ka, kb, cond = _keyed(left, right)
+    box_l, box_r = _row_boxes()
     size = F.col("a_size")
     cond = (
         cond
-        & shapes.boxes_meet(box_l, box_r)
         & (F.floor(F.greatest(box_l[0], box_r[0]) / size) == F.col("a_cx"))
         & (F.floor(F.greatest(box_l[1], box_r[1]) / size) == F.col("a_cy"))
     )
@@ -109,12 +120,32 @@ def box_pairs(left: DataFrame, right: DataFrame, on: Column | None = None) -> Da
     return ka.join(kb, cond).select("l", "r")
 
 
-def meet_pairs(left: DataFrame, right: DataFrame, on: Column | None = None) -> DataFrame:
-    """``box_pairs`` with the exact test where both sides carry a shape."""
-    pairs = box_pairs(left, right, on)
-    if "shape" in left.columns and "shape" in right.columns:
-        pairs = pairs.where(shapes.shapes_meet(F.col("l.shape"), F.col("r.shape")))
-    return pairs
+def _vertices(shape: Column) -> Column:
+    return F.size(F.flatten(shape["parts"])).cast("long")
+
+
+def _direct(direct: int | None) -> Column:
+    """The exact test of pairs that are small enough to be compared segment by segment in their row."""
+    a, b = F.col("l.shape"), F.col("r.shape")
+    meet = shapes.shapes_meet(a, b)
+    return meet if direct is None else (_vertices(a) * _vertices(b) <= direct) & meet
+
+
+def meet_pairs(left: DataFrame, right: DataFrame, on: Column | None = None, direct: int | None = DIRECT) -> DataFrame:
+    """``box_pairs`` with the exact test where both sides carry a shape.
+
+    Pairs of more than ``direct`` segment pairs are tested by joins of their segments (``meeting.large_pairs``); both
+    ways give the same pairs. ``None`` tests all in their row, for layers that are costly to derive and read again.
+    """
+    if "shape" not in left.columns or "shape" not in right.columns:
+        return box_pairs(left, right, on)
+    small = box_pairs(left, right, on).where(_direct(direct))
+    if direct is None:
+        return small
+    from fieldlens.operators.meeting import large_pairs
+
+    large = large_pairs(left, right, direct)
+    return small.unionByName(large if on is None else large.where(on))
 
 
 def _names(left: list[str], right: list[str], suffixes: tuple[str, str]) -> list[Column]:
@@ -129,29 +160,36 @@ def spatial_join(
 ) -> DataFrame:
     """Rows of both layers that intersect; clashing names get suffixes.
 
-    ``how='left'`` keeps rows of the left layer without a match, with NULLs. Layers with a
-    shape column are tested exactly, layers with only a box by their box.
+    ``how='left'`` keeps rows of the left layer without a match, with NULLs: the pairs carry the left key, and one outer
+    join by it brings the left rows. Layers with a shape column are tested exactly, layers with only a box by their box.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, not {how!r}")
-    pairs = meet_pairs(left, right)
     if how == "left":
-        met = pairs.select(F.col(f"l.{key}").alias("_key")).distinct()
-        alone = left.join(met, F.col(key) == F.col("_key"), "left_anti").select(
-            F.struct(*left.columns).alias("l"), F.lit(None).cast(pairs.schema["r"].dataType).alias("r")
-        )
-        pairs = pairs.select("l", "r").unionByName(alone)
+        geometry = ["shape", *BOX] if "shape" in left.columns and "shape" in right.columns else list(BOX)
+        met = meet_pairs(left.select(*dict.fromkeys([key, *geometry])), right).select(F.col(f"l.{key}").alias("_key"), "r")
+        pairs = left.select(F.struct(*left.columns).alias("l")).join(met, F.col(f"l.{key}") == F.col("_key"), "left")
+    else:
+        pairs = meet_pairs(left, right)
     return pairs.select(*_names(left.columns, right.columns, suffixes))
 
 
-def matched_keys(left: DataFrame, right: DataFrame, key: str = "id") -> DataFrame:
+def matched_keys(left: DataFrame, right: DataFrame, key: str = "id", direct: int | None = DIRECT) -> DataFrame:
     """Keys of left rows that meet at least one right row.
 
-    Copies of one geometry on the right count once, so a source that repeats the same
-    shape does not multiply the candidates.
+    Copies of one geometry on the right count once. A left row leaves a cell at its first match there, so pairs are
+    neither made nor shuffled: what is left is one row per key and cell.
     """
-    geometry = ["shape", *BOX] if "shape" in right.columns else list(BOX)
-    return meet_pairs(left, right.select(*geometry).distinct()).select(F.col(f"l.{key}").alias(key)).distinct()
+    exact = "shape" in left.columns and "shape" in right.columns
+    geometry = ["shape", *BOX] if exact else list(BOX)
+    rows, others = left.select(*dict.fromkeys([key, *geometry])), right.select(*geometry).distinct()
+    ka, kb, cond = _keyed(rows, others)
+    found = ka.join(kb, cond & _direct(direct) if exact else cond, "left_semi").select(F.col(f"l.{key}").alias(key))
+    if exact and direct is not None:
+        from fieldlens.operators.meeting import large_pairs
+
+        found = found.unionByName(large_pairs(rows, others, direct).select(F.col(f"l.{key}").alias(key)))
+    return found.distinct()
 
 
 def count_matched(left: DataFrame, right: DataFrame, key: str = "id") -> DataFrame:

@@ -203,7 +203,7 @@ def clip(layer: DataFrame, other: DataFrame, key: str = "id", **tiles) -> DataFr
     sizes = areas_against(layer, other, key, **tiles)
     inner = sizes.where(~_negligible(F.col("inside"), F.col("area"))).select(F.col(key).alias("_key"), "inside")
     rest = layer.join(inner, F.col(key) == F.col("_key"), "left_anti")
-    touching = grid.matched_keys(rest, other, key).select(F.col(key).alias("_key"), F.lit(0.0).alias("inside"))
+    touching = grid.matched_keys(rest, other, key, direct=None).select(F.col(key).alias("_key"), F.lit(0.0).alias("inside"))
     hits = inner.unionByName(touching)
     return layer.join(hits, F.col(key) == F.col("_key")).select(
         *layer.columns, F.col("inside").alias("clip_area"), (F.col("inside") == 0).alias("touch_only")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from fieldlens.functions import geodesy, shapes
 from fieldlens.operators import changes, crops, grid, integrity, nearest, overlay, profile, sampling, scenes, validity
 from fieldlens.plans import register
-from fieldlens.plans.derived import FIELD, HOUSE, LAND, OBS, SPOT, WEATHER, ZONE, boxes, derive, flawed, holed, lines, long_roads, table, turned
+from fieldlens.plans.derived import FIELD, HOUSE, LAND, OBS, SPOT, WEATHER, ZONE, boxes, dense, derive, flawed, holed, lines, long_roads, table, turned
 from fieldlens.sources import export, layers
 from fieldlens.sources.schemas import INT, LONG, TEXT, Field, Link, Table
 from pyspark.sql import types as T
@@ -288,6 +288,17 @@ def exact_pairs(spark, d):
     return grid.spatial_join(boxes(spark, d, LAND), boxes(spark, d, ZONE), suffixes=("_a", "_b")).select("id_a", "id_b")
 
 
+@query
+def dense_pairs(spark, d):
+    return grid.spatial_join(turned(boxes(spark, d, LAND)), turned(dense(boxes(spark, d, ZONE))), suffixes=("_a", "_b")).select("id_a", "id_b")
+
+
+@query
+def dense_left(spark, d):
+    out = grid.spatial_join(turned(dense(boxes(spark, d, ZONE))), turned(boxes(spark, d, HOUSE)), "left", ("_a", "_b"))
+    return out.select("id_a", "id_b")
+
+
 @query
 def unique_matches(spark, d):
     return grid.count_matched(derive(spark, d, FIELD), derive(spark, d, HOUSE))

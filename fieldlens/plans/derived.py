@@ -74,6 +74,14 @@ def turned(layer: DataFrame) -> DataFrame:
     return shapes.with_bounds(layer.withColumn("shape", moved))
 
 
+def dense(layer: DataFrame, parts: int = 250) -> DataFrame:
+    """The same outlines with every edge in equal parts: shapes of many vertices."""
+    step = lambda s, i: shapes.point(s["ax"] + (s["bx"] - s["ax"]) * i / parts, s["ay"] + (s["by"] - s["ay"]) * i / parts)
+    cut = lambda r: F.flatten(F.transform(shapes.ring_segments(r), lambda s: F.transform(F.sequence(F.lit(0), F.lit(parts - 1)), lambda i: step(s, i))))
+    rings = F.transform("shape.parts", lambda r: F.concat(cut(r), F.slice(r, 1, 1)))
+    return layer.withColumn("shape", shapes.make_shape("polygon", rings))
+
+
 def holed(layer: DataFrame, rim: float = 100.0) -> DataFrame:
     """Boxes with a hole that leaves a rim."""
     c = F.col

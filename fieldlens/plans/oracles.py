@@ -139,6 +139,8 @@ _ab = lambda a, b: _with(a=a, b=b)
 ORACLE["spatial_pairs"] = _ab(dv.FIELD, dv.HOUSE) + f"select a.id id_a, b.id id_b from a, b where {_MEET}"
 ORACLE["spatial_left"] = _ab(dv.HOUSE, dv.FIELD) + f"select a.id id_a, b.id id_b, a.x0 x0_a, b.x0::double x0_b from a left join b on {_MEET}"
 ORACLE["exact_pairs"] = _ab(dv.LAND, dv.ZONE) + f"select a.id id_a, b.id id_b from a, b where {_MEET}"
+ORACLE["dense_pairs"] = ORACLE["exact_pairs"]
+ORACLE["dense_left"] = _ab(dv.ZONE, dv.HOUSE) + f"select a.id id_a, b.id id_b from a left join b on {_MEET}"
 ORACLE["unique_matches"] = _ab(dv.FIELD, dv.HOUSE) + f"select count(distinct a.id) matched, (select count(*) from a) total from a, b where {_MEET}"
 ORACLE["touching_pairs"] = _ab(dv.LAND, dv.ZONE) + f"""select a.id a, b.id b, 'landuse_' || a.id left_name,
 'natural_' || b.id right_name, {_COMMON} area from a, b where {_MEET}"""
