@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldlens.functions import geodesy, shapes
-from fieldlens.operators import changes, crops, grid, integrity, nearest, overlay, profile, sampling, scenes, validity
+from fieldlens.operators import changes, crops, grid, integrity, nearest, overlay, profile, sampling, scatter, scenes, validity
+from fieldlens.operators.spread import checkpointed, shared_folder
 from fieldlens.plans import register
 from fieldlens.plans.derived import FIELD, HOUSE, LAND, OBS, SPOT, WEATHER, ZONE, boxes, dense, derive, flawed, holed, lines, long_roads, table, turned
 from fieldlens.sources import export, layers
@@ -427,6 +429,26 @@ def points_within(spark, d):
     return overlay.points_within(spots, turned(boxes(spark, d, ZONE))).select("id")
 
 
+@query
+def even_points(spark, d):
+    """Random points in the zones, by columns of 1 km: all inside, and in every stretch the share that its area asks for."""
+    zones, n = turned(boxes(spark, d, ZONE)), 500
+    points = scatter.random_points(zones, n, size=1000.0).select("id", *[F.col(c[0]).alias(c) for c in ("x0", "y0", "x1", "y1")])
+    points = checkpointed(points.withColumn("shape", shapes.point_shape(F.col("x0"), F.col("y0"))))
+    held = grid.matched_keys(points, zones).withColumn("held", F.lit(1))
+    column = F.floor(F.col("x0") / 1000).alias("cx")
+    found = points.join(held, "id", "left").groupBy(column).agg(F.count(F.lit(1)).alias("n"), F.count("held").alias("held"))
+    areas = overlay.dissolve(zones, size=1000.0).groupBy(column).agg(F.sum("area").alias("area"))
+    rows = areas.join(found, "cx", "left")
+    upto = Window.orderBy("cx")  # one row per column of the extent
+    whole = Window.partitionBy()
+    off = F.sum(F.coalesce("n", F.lit(0))).over(upto) - n * F.sum("area").over(upto) / F.sum("area").over(whole)
+    return rows.select(
+        "cx", F.round("area", 2).alias("area"), (F.abs(off) <= 1 + 1e-6).alias("even"), F.col("n").eqNullSafe(F.col("held")).alias("all_inside"),
+        F.sum("n").over(whole).alias("points"),
+    )
+
+
 @query
 def invalid_polygons(spark, d):
     return validity.invalid_polygons(flawed(boxes(spark, d, LAND)))
@@ -514,6 +536,16 @@ def scene_filter(spark, d):
     return out.select("scene_id", "cloud", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"))
 
 
+TILES = """select scene_id, cloud, floor(x/5000) tx, floor(y/5000) ty, min(ts) ts, min(x) x0, min(y) y0, max(x) x1, max(y) y1
+  from (""" + OBS + """) o group by scene_id, cloud, floor(x/5000), floor(y/5000)"""
+
+
+@query
+def scene_window(spark, d):
+    out = scenes.filter_scenes(derive(spark, d, TILES), window=(12345.0, 6789.0, 23456.0, 17890.0), season=("1994-01-01", "1999-09-30"), cloud_limit=60.0)
+    return out.select("scene_id", F.col("tx").cast("long").alias("tx"), F.col("ty").cast("long").alias("ty"), "x0", "y0", "x1", "y1")
+
+
 @query
 def ndvi_rows(spark, d):
     return scenes.with_ndvi(_pixels(spark, d)).select("pixel_id", "scene_id", "red", "nir", "ndvi")
@@ -574,6 +606,16 @@ def feature_frame(spark, d):
     return full.select("sample_id", *[F.round(c, 6).alias(c) for c in crops.FEATURES])
 
 
+@query
+def feature_gaps(spark, d):
+    """Pixels that lack bands or indices, and a column of weather cells that never reports."""
+    gap = lambda c, n: F.when(F.col("sample_id") % n != 0, F.col(c))
+    samples = _samples(spark, d).withColumns({"red": gap("red", 7), "ndwi": gap("ndwi", 5), "savi": gap("savi", 3)})
+    weather = scenes.weather_means(derive(spark, d, WEATHER).where("cx <> 1"))
+    full = crops.clipped(crops.feature_frame(samples, weather))
+    return full.select("sample_id", *[F.round(c, 6).alias(c) for c in crops.FEATURES])
+
+
 @query
 def rule_labels(spark, d):
     return _training(spark, d).select("sample_id", "crop_type")
@@ -635,14 +677,74 @@ def importances(spark, d):
     return crops.importances(spark, _model(spark, d)[0])
 
 
+@query
+def model_checks(spark, d):
+    """One forest fitted, saved, loaded and scored with both: sizes, and how often a promise is broken."""
+    train, test = (checkpointed(f) for f in crops.split(_training(spark, d)))
+    path = f"{shared_folder(spark)}/model-{uuid.uuid4().hex}"
+    made = crops.load_or_train(spark, path, train)
+    loaded = crops.load_or_train(spark, path, train.where("false"))  # nothing could be fitted on no rows
+    again = crops.score(loaded, test).select(F.col("sample_id").alias("_id"), F.col("predicted").alias("_class"), F.col("probability").alias("_p"))
+    both = crops.score(made, test).join(again, F.col("sample_id") == F.col("_id"), "left")
+    classes = train.select(F.collect_set("crop_type")).scalar()
+    weights = crops.importances(spark, made)
+    one = weights.select((F.abs(F.sum("importance") - 1) < 1e-9) & (F.min("importance") >= 0) & (F.count_distinct("feature") == 7)).scalar()
+    return both.agg(
+        F.count(F.lit(1)).alias("test_rows"), F.max(F.size(classes)).cast("long").alias("classes"),
+        F.count_if((F.col("predicted") == F.col("_class")) & (F.abs(F.col("probability") - F.col("_p")) < 1e-12)).alias("same_after_reload"),
+        F.count_if((F.col("probability") > 1 / F.size(classes) - 1e-9) & (F.col("probability") < 1 + 1e-9)).alias("probable"),
+        F.count_if(F.array_contains(classes, F.col("predicted"))).alias("known_class"), F.max(one).alias("importances_add_up"),
+    )
+
+
+SCORED = """select p_partkey sample_id, 19.05e0 + (p_partkey*7919%1300)/1000e0 longitude,
+  44.73e0 + (p_partkey*104729%520)/1000e0 latitude, p_size/50e0 ndvi, 20e0 temperature, 60e0 humidity,
+  p_size/64e0 probability, case when p_size < 20 then 'Soja' when p_size < 40 then 'Kukuruz' else 'Trava' end predicted
+  from {part}"""
+
+
+@query
+def detections_saved(spark, d):
+    """Two versions of the stored detections: the second batch repeats ids and replaces rows of the first."""
+    found = crops.detections(derive(spark, d, SCORED))
+    folder = f"{shared_folder(spark)}/detections-{uuid.uuid4().hex}"
+    second = found.where("detection_id % 3 > 0").withColumn("confidence", F.lit(1.5).cast("decimal(5,1)"))
+    crops.save_detections(spark, found.where("detection_id % 3 < 2"), folder, "first")
+    out = shapes.with_bounds(crops.save_detections(spark, second.unionByName(second), folder, "second", "first"))
+    box = [F.round(c, 9).alias(c) for c in ("x0", "y0", "x1", "y1")]
+    return _dbl(out, "confidence", "area_ha").select("detection_id", "crop_type", "confidence", "area_ha", "color", *box)
+
+
+DEGREES = """select id, 19.05e0 + x0/32000e0 x0, 19.05e0 + x1/32000e0 x1, 44.73e0 + y0/62200e0 y0, 44.73e0 + y1/62200e0 y1
+  from (""" + LAND + ") k"
+PLACED = "select p_partkey detection_id, (p_partkey*7919)%40000 x0, (p_partkey*104729)%31000 y0 from {part}"
+
+
+@query
+def detection_report(spark, d):
+    """All parts of the report as rows: classes, landuse of every detection, how many have one, distances to roads."""
+    found = crops.detections(derive(spark, d, SCORED))
+    spots = derive(spark, d, PLACED).withColumn("shape", shapes.point_shape(F.col("x0"), F.col("y0")))
+    report = crops.detection_report(found, {"landuse": boxes(spark, d, DEGREES), "roads": lines(spark, d)}, shapes.with_bounds(spots))
+
+    def rows(part, text, first, second, value):
+        return report[part].select(F.lit(part).alias("part"), *[c.cast(t).alias(n) for c, t, n in (
+            (text, "string", "label"), (first, "long", "a"), (second, "long", "b"), (F.round(value, 4), "double", "value"))])
+
+    c, none = F.col, F.lit(0)
+    return (
+        rows("class_stats", c("crop_type"), c("n"), none, c("mean_confidence"))
+        .unionByName(rows("landuse_overlap", c("crop_type"), c("detection_id"), c("id"), none))
+        .unionByName(rows("landuse_matched", F.lit(""), c("matched"), c("total"), none))
+        .unionByName(rows("road_distance", F.lit(""), c("detection_id"), none, c("road_distance_m")))
+        .unionByName(rows("road_distance_stats", F.lit(""), none, none, c("mean_m")))
+    )
+
+
 @query
 def detections(spark, d):
     """Detection records over given scores: quantities of the order lines stand in for the model's output."""
-    scored = derive(spark, d, """select p_partkey sample_id, 19.05e0 + (p_partkey*7919%1300)/1000e0 longitude,
-      44.73e0 + (p_partkey*104729%520)/1000e0 latitude, p_size/50e0 ndvi, 20e0 temperature, 60e0 humidity,
-      p_size/64e0 probability, case when p_size < 20 then 'Soja' when p_size < 40 then 'Kukuruz' else 'Trava' end predicted
-      from {part}""")
-    out = crops.detections(scored).drop("created_at", "shape")
+    out = crops.detections(derive(spark, d, SCORED)).drop("created_at", "shape")
     return _dbl(out, "confidence", "ndvi_mean", "lai_estimate", "area_ha", "latitude", "longitude", "temperature", "humidity")
 
 

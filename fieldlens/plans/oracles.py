@@ -299,3 +299,29 @@ select c_custkey detection_id, coalesce(t.value, c_mktsegment) crop_type, coales
 from customer left join r t on t.detection_id = c_custkey and t.attribute = 'crop_type' and t.n = 1
 left join r f on f.detection_id = c_custkey and f.attribute = 'confidence' and f.n = 1"""
 ORACLE["rejected_edits"] = _EDITED + " select reason, count(*) n from k where reason is not null group by reason"
+
+ORACLE["detections_saved"] = f"""select detection_id, crop_type, case when detection_id%3 = 0 then confidence else 1.5e0 end confidence, area_ha, color,
+round(longitude - 0.0025e0, 9) x0, round(latitude - 0.0025e0, 9) y0, round(longitude + 0.0025e0, 9) x1, round(latitude + 0.0025e0, 9) y1
+from ({ORACLE['detections']})"""
+ORACLE["detection_report"] = _with(k=c.SCORED, u=c.DEGREES, p=c.PLACED, b=dv.LINE) + f""", f as ({ORACLE['detections']}),
+a as (select sample_id id, predicted, longitude - 0.0025e0 x0, latitude - 0.0025e0 y0, longitude + 0.0025e0 x1, latitude + 0.0025e0 y1 from k),
+m as (select a.id, predicted, b.id lu from a left join u b on {_MEET}),
+g as (select detection_id, sqrt(min({_GAP2})) gap from (select *, x0 x1, y0 y1 from p) a, b group by detection_id)
+select 'class_stats' part, crop_type label, count(*) a, 0 b, round({_M('confidence')}, 4) as value from f group by crop_type
+union all select 'landuse_overlap', predicted, id, lu, 0e0 from m
+union all select 'landuse_matched', '', count(distinct id) filter (lu is not null), count(distinct id), 0e0 from m
+union all select 'road_distance', '', detection_id, 0, round(gap, 4) from g
+union all select 'road_distance_stats', '', 0, 0, round(avg(gap), 4) from g"""
+ORACLE["feature_gaps"] = "with " + _FEAT.replace("from w group by cx, cy", "from w where cx <> 1 group by cx, cy").replace("coalesce(greatest(20, least(95, p*100000e0/7)), 60)", "case when p is null then 60 else greatest(20, least(95, p*100000e0/7)) end") + f""" select sample_id,
+{_CLIP('ndvi', 0, 1)} ndvi, {_CLIP('temperature', 5, 35)} temperature, {_CLIP('humidity', 20, 95)} humidity, {_CLIP('red', 0.01, 0.3)} red_band,
+{_CLIP('nir', 0.2, 0.7)} nir_band, round(case when sample_id%5 = 0 then 0.15e0 else coalesce(ndwi, 0.15e0) end, 6) ndwi,
+{_CLIP('case when sample_id%3 = 0 then ndvi*0.8e0 + 0.1e0 else savi end', 0, 1)} savi
+from ff where sample_id%7 <> 0 and red is not null and nir is not null and ndvi is not null"""
+ORACLE["scene_window"] = _with(t=c.TILES) + """select scene_id, tx::bigint tx, ty::bigint ty, x0, y0, x1, y1 from t where cloud < 60
+and ts >= timestamp '1994-01-01' and ts < timestamp '1999-09-30' and x0 <= 23456 and x1 >= 12345 and y0 <= 17890 and y1 >= 6789"""
+ORACLE["model_checks"] = f"""with l as ({ORACLE['rule_labels']}), n as (select round(0.2e0 * count(*))::bigint t from l group by crop_type)
+select sum(t)::bigint test_rows, count(*) classes, sum(t)::bigint same_after_reload, sum(t)::bigint probable, sum(t)::bigint known_class,
+true importances_add_up from n"""
+# A turned cell of 100 m spans two columns of 100 m: it is half a square in either, cut at x = (cx - cy) * 100.
+ORACLE["even_points"] = _with(b=dv.ZONE) + _Z + """, h as (select cx - cy k from z union all select cx - cy - 1 from z)
+select floor(k/10)::bigint cx, round(count(*)*10000e0, 2) area, true even, true all_inside, 500 points from h group by floor(k/10)"""
