@@ -6,10 +6,11 @@ the checking engine in ``oracles``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldlens.functions import shapes
+from fieldlens.operators.spread import spread
 
 LAND = """select p_partkey id, x0, x0+w x1, y0, y0+h y1 from (select p_partkey,
   (p_partkey*7919)%400*100 x0, (1+(p_partkey*31)%9)*100 w,
@@ -50,15 +51,21 @@ def derive(spark: SparkSession, folder: str, text: str) -> DataFrame:
     return spark.sql(text, **used)
 
 
+def _shaped(layer: DataFrame, shape: Column) -> DataFrame:
+    """The layer with this shape, made in a generator of one row: else the optimizer works it out again wherever it is named."""
+    return layer.withColumn("_made", F.explode(F.array(shape))).withColumn("shape", F.col("_made")).drop("_made")
+
+
 def boxes(spark: SparkSession, folder: str, text: str) -> DataFrame:
-    """A box layer with its polygons."""
-    return shapes.with_box_shape(derive(spark, folder, text))
+    """A box layer with its polygons, over all tasks: a table of a few files would leave the work on shapes to as many."""
+    layer = spread(derive(spark, folder, text), "id")
+    return _shaped(layer, shapes.box_shape(*[F.col(c) for c in shapes.BOX]))
 
 
 def lines(spark: SparkSession, folder: str) -> DataFrame:
     p = shapes.point
     ends = F.array(p(F.col("x0"), F.col("y0")), p(F.col("x1"), F.col("y1")))
-    return derive(spark, folder, LINE).withColumn("shape", shapes.line_shape(ends))
+    return _shaped(spread(derive(spark, folder, LINE), "id"), shapes.line_shape(ends))
 
 
 def long_roads(spark: SparkSession, folder: str, segments: int = 210, step: float = 200.0) -> DataFrame:
@@ -71,7 +78,7 @@ def long_roads(spark: SparkSession, folder: str, segments: int = 210, step: floa
 def turned(layer: DataFrame) -> DataFrame:
     """A layer turned by 45 degrees and stretched by the root of two: whole numbers stay whole, areas double."""
     moved = shapes.map_points(F.col("shape"), lambda p: shapes.point(p["x"] - p["y"], p["x"] + p["y"]))
-    return shapes.with_bounds(layer.withColumn("shape", moved))
+    return shapes.with_bounds(_shaped(layer, moved))
 
 
 def dense(layer: DataFrame, parts: int = 250) -> DataFrame:
@@ -79,7 +86,7 @@ def dense(layer: DataFrame, parts: int = 250) -> DataFrame:
     step = lambda s, i: shapes.point(s["ax"] + (s["bx"] - s["ax"]) * i / parts, s["ay"] + (s["by"] - s["ay"]) * i / parts)
     cut = lambda r: F.flatten(F.transform(shapes.ring_segments(r), lambda s: F.transform(F.sequence(F.lit(0), F.lit(parts - 1)), lambda i: step(s, i))))
     rings = F.transform("shape.parts", lambda r: F.concat(cut(r), F.slice(r, 1, 1)))
-    return layer.withColumn("shape", shapes.make_shape("polygon", rings))
+    return _shaped(layer, shapes.make_shape("polygon", rings))
 
 
 def holed(layer: DataFrame, rim: float = 100.0) -> DataFrame:
@@ -87,7 +94,7 @@ def holed(layer: DataFrame, rim: float = 100.0) -> DataFrame:
     c = F.col
     ring = lambda x0, y0, x1, y1: F.array(*[shapes.point(x, y) for x, y in ((x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0))])
     rings = F.array(ring(c("x0"), c("y0"), c("x1"), c("y1")), ring(c("x0") + rim, c("y0") + rim, c("x1") - rim, c("y1") - rim))
-    return layer.withColumn("shape", shapes.polygon_shape(rings))
+    return _shaped(layer, shapes.polygon_shape(rings))
 
 
 def flawed(layer: DataFrame) -> DataFrame:
@@ -102,4 +109,4 @@ def flawed(layer: DataFrame) -> DataFrame:
         F.when(rest == 0, F.array(tie)).when(rest == 1, F.array(shell, moved(90))).when(rest == 2, F.array(shell, small))
         .when(rest == 3, F.array(shell, moved(40))).otherwise(F.array(shell, moved(0)))
     )
-    return shapes.with_bounds(layer.withColumn("shape", shapes.make_shape("polygon", parts)))
+    return shapes.with_bounds(_shaped(layer, shapes.make_shape("polygon", parts)))
