@@ -1,7 +1,7 @@
 """Which polygons are not valid, and why: rings that cross, holes outside their shell, shells inside another.
 
-Edges of a feature meet on grid cells of their own size, like the features of two layers, so a shape of many thousand
-vertices costs its edges and the crossings themselves, never all pairs of its edges.
+Edges of a large feature meet on grid cells of their own size, like the features of two layers, so a shape of many thousand
+vertices costs its edges and the crossings themselves, never all pairs of its edges. Small features are tested in their row.
 """
 
 from __future__ import annotations
@@ -11,18 +11,34 @@ from pyspark.sql import functions as F
 
 from fieldlens.functions import shapes
 from fieldlens.operators import grid
+from fieldlens.sources.schemas import BOX
 
 CROSSING, OUTSIDE, NESTED = "edges cross", "hole outside its shell", "shell inside a shell"
 
 
+FEW = 64
+"""Polygons of at most so many segments are tested in their row, larger ones by a join of their edges on cells."""
+
+
+def _listed(shape: Column) -> Column:
+    """The edges of every ring with their boxes, numbered along it; repeated vertices have none."""
+    low, high = lambda s, a, b: F.least(s[a], s[b]), lambda s, a, b: F.greatest(s[a], s[b])
+
+    def numbered(own: Column, ring: Column) -> Column:
+        return F.transform(own, lambda s, n: F.struct(
+            ring.alias("ring"), (F.size(own) - 1).alias("last"), n.alias("n"), s.alias("s"), low(s, "ax", "bx").alias("x0"),
+            low(s, "ay", "by").alias("y0"), high(s, "ax", "bx").alias("x1"), high(s, "ay", "by").alias("y1")))
+
+    def one(points: Column, ring: Column) -> Column:
+        own = F.filter(shapes.ring_segments(points), lambda s: (s["ax"] != s["bx"]) | (s["ay"] != s["by"]))
+        return F.element_at(F.transform(F.array(own), lambda o: numbered(o, ring)), 1)
+
+    return F.flatten(F.transform(shape["parts"], one))
+
+
 def _edges(polygons: DataFrame, key: str) -> DataFrame:
-    """(key, ring, n, last, s, box): the edges of every ring, numbered along it; repeated vertices have none."""
-    rings = polygons.select(key, F.posexplode("shape.parts").alias("ring", "points"))
-    own = F.filter(shapes.ring_segments(F.col("points")), lambda s: (s["ax"] != s["bx"]) | (s["ay"] != s["by"]))
-    made = rings.select(key, "ring", F.explode(F.array(own)).alias("own"))
-    edges = made.select(key, "ring", (F.size("own") - 1).alias("last"), F.posexplode("own").alias("n", "s"))
-    low, high = lambda a, b: F.least(f"s.{a}", f"s.{b}"), lambda a, b: F.greatest(f"s.{a}", f"s.{b}")
-    return edges.withColumns({"x0": low("ax", "bx"), "y0": low("ay", "by"), "x1": high("ax", "bx"), "y1": high("ay", "by")})
+    """(key, ring, last, n, s, box): the edges of polygons, one a row."""
+    return polygons.select(key, F.inline(_listed(F.col("shape"))))
 
 
 def _side(s: Column, x: Column, y: Column) -> Column:
@@ -48,11 +64,19 @@ def _faulty(l: Column, r: Column) -> Column:
 
 def crossings(layer: DataFrame, key: str = "id") -> DataFrame:
     """Keys of polygons whose edges cross, touch within a ring, or run along each other; one row each."""
-    edges = _edges(layer.where(F.col("shape.kind") == "polygon"), key)
+    polygons = layer.where((F.col("shape.kind") == "polygon") & F.col(key).isNotNull())
+    few = F.coalesce(F.size(F.flatten("shape.parts")) <= FEW, F.lit(False))
+    before = lambda l, r: (l["ring"] < r["ring"]) | ((l["ring"] == r["ring"]) & (l["n"] < r["n"]))
+    box = lambda e: tuple(e[c] for c in BOX)
+    placed = lambda e: F.forall(F.array(*box(e)), lambda v: v.isNotNull() & ~F.isnan(v))
+    listed = polygons.where(few).select(key, F.explode(F.array(F.filter(_listed(F.col("shape")), placed))).alias("own"))
     l, r = F.col("l"), F.col("r")
-    before = (l["ring"] < r["ring"]) | ((l["ring"] == r["ring"]) & (l["n"] < r["n"]))
-    met = grid.box_pairs(edges, edges, (l[key] == r[key]) & before)
-    return met.where(_faulty(l, r)).select(l[key].alias(key)).distinct()
+    # one row per pair of edges, which runs in generated code and is not shuffled
+    pairs = listed.select(key, "own", F.explode("own").alias("l")).select(key, "l", F.explode("own").alias("r"))
+    small = pairs.where(before(l, r) & shapes.boxes_meet(box(l), box(r))).where(_faulty(l, r)).select(key)
+    edges = _edges(polygons.where(~few), key)
+    met = grid.box_pairs(edges, edges, (l[key] == r[key]) & before(l, r), keyed=True)
+    return small.unionByName(met.where(_faulty(l, r)).select(l[key].alias(key))).distinct()
 
 
 def _depths(shape: Column) -> Column:
