@@ -142,7 +142,10 @@ def delete_with_rules(
             if link.parent != table or link.child not in out:
                 continue
             child = out[link.child]
-            if link.rule == "cascade":
+            if link.rule == "cascade" and link.column == tables[link.child].key and all(other.parent != link.child for other in links):
+                # the child goes by the same column and nothing hangs on it: keys that it lacks delete nothing
+                level.append((link.child, keys))
+            elif link.rule == "cascade":
                 below = child.join(keys, F.col(link.column) == F.col("_key"), "left_semi")
                 level.append((link.child, below.select(F.col(tables[link.child].key).alias("_key")).distinct()))
             else:
