@@ -106,19 +106,26 @@ def is_straight(shape: Column, box: tuple[Column, ...]) -> Column:
 def is_convex(shape: Column) -> Column:
     """One closed ring that turns left all around, once: the cover count is 1 inside and 0 outside."""
 
-    def turning(segs: Column) -> Column:
-        def angle(s: Column, i: Column) -> Column:
-            t = F.get(segs, (i + 1) % F.size(segs))
-            ux, uy, vx, vy = s["bx"] - s["ax"], s["by"] - s["ay"], t["bx"] - t["ax"], t["by"] - t["ay"]
-            across, along = ux * vy - uy * vx, ux * vx + uy * vy
-            # no turn to the right, none back, no segment of length zero
-            return F.when((across > 0) | ((across == 0) & (along > 0)), F.atan2(across, along)).otherwise(F.lit(float("inf")))
+    def angle(s, t) -> Column:
+        ux, uy, vx, vy = s["bx"] - s["ax"], s["by"] - s["ay"], t["bx"] - t["ax"], t["by"] - t["ay"]
+        across, along = ux * vy - uy * vx, ux * vx + uy * vy
+        # no turn to the right, none back, no segment of length zero
+        return F.when((across > 0) | ((across == 0) & (along > 0)), F.atan2(across, along)).otherwise(F.lit(float("inf")))
 
-        return F.aggregate(F.transform(segs, angle), F.lit(0.0), lambda acc, a: acc + a)
+    def turning(segs: Column) -> Column:
+        angles = F.transform(segs, lambda s, i: angle(s, F.get(segs, (i + 1) % F.size(segs))))
+        return F.aggregate(angles, F.lit(0.0), lambda acc, a: acc + a)
 
     ring = shape["parts"][0]
     closed = F.element_at(ring, 1) == F.element_at(ring, -1)
-    once = F.element_at(F.transform(F.array(ring_segments(ring)), turning), 1).between(6.0, 7.0)
+    # four corners as plain columns, which run in generated code
+    p = [F.get(ring, F.lit(i)) for i in range(5)]
+    sides = [{"ax": u["x"], "ay": u["y"], "bx": v["x"], "by": v["y"]} for u, v in zip(p, p[1:])]
+    four = F.lit(0.0)
+    for i, s in enumerate(sides):
+        four = four + angle(s, sides[(i + 1) % 4])
+    around = F.when(F.size(ring) == 5, four).otherwise(F.element_at(F.transform(F.array(ring_segments(ring)), turning), 1))
+    once = around.between(6.0, 7.0)
     plain = (shape["kind"] == "polygon") & (F.size(shape["parts"]) == 1) & (F.size(F.get(shape["parts"], F.lit(0))) > 3)
     return F.coalesce(F.when(plain, closed & once), F.lit(False))
 
