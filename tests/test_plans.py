@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldlens.functions import shapes
-from fieldlens.operators import crops
+from fieldlens.operators import crops, grid, nearest
 from fieldlens.plans.overlays import overlay_preview, overlay_suite
 from fieldlens.sources import schemas, tables
 from fieldlens.sources.layers import to_planar
@@ -75,3 +75,19 @@ def test_register_round_trip(spark, tmp_path):
     assert {n: f.count() for n, f in tables.read_register(spark, str(tmp_path)).items()} == dict.fromkeys(schemas.REGISTER, 0)
     with pytest.raises(ValueError):
         tables.read_table(spark, str(tmp_path), "pg_user")
+
+
+def test_report_works_out_distances_and_matches_once(spark, monkeypatch):
+    calls = []
+    for module, name in ((nearest, "nearest_distance"), (grid, "matched_keys")):
+        plain = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda *a, plain=plain, name=name, **k: calls.append(name) or plain(*a, **k))
+    found = crops.detections(spark.createDataFrame([(1, 19.1, 44.8, 0.5, 20.0, 60.0, 0.9, "Soja")], "sample_id long, longitude double, latitude double, ndvi double, temperature double, humidity double, probability double, predicted string"))
+    land = shapes.with_box_shape(spark.createDataFrame([(7, 19.0, 44.0, 20.0, 45.0)], "id long, x0 double, y0 double, x1 double, y1 double"))
+    spots = spark.createDataFrame([(1, 3.0, 4.0)], "detection_id long, x double, y double")
+    spots = shapes.with_bounds(spots.select("detection_id", shapes.point_shape(F.col("x"), F.col("y")).alias("shape")))
+    out = crops.detection_report(found, {"landuse": land, "roads": _road(spark)}, spots)
+    for part in ("road_distance", "road_distance_stats"):
+        assert "Join" not in out[part]._jdf.queryExecution().optimizedPlan().toString()
+    assert out["landuse_matched"].first().matched == 1 and [r.id for r in out["landuse_overlap"].collect()] == [7]
+    assert sorted(calls) == ["matched_keys", "nearest_distance"]
