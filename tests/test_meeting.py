@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldlens.functions import shapes
-from fieldlens.operators import grid
+from fieldlens.operators import grid, meeting
 from test_spatial import box, polygons, regular
 
 
@@ -115,3 +115,14 @@ def test_large_shapes(spark):
     pairs = found(grid.meet_pairs(outer, inner))
     assert pairs == [(1, 1), (2, 2)] + [(2, i) for i in range(100, 600)]
     assert time.time() - start < 60
+
+
+def test_only_rings_inside_the_others_box_are_looked_up(spark, monkeypatch):
+    """Of two large rings that cross or lie apart none can hold the other: no edge is searched for them."""
+    outer = polygons(spark, {1: [regular(0, 0, 100, 90)]})
+    others = polygons(spark, {1: [regular(0, 0, 50, 90)], 2: [regular(95, 0, 30, 90)], 3: [regular(95, 95, 30, 90)]})
+    seen = []
+    strip = meeting._strip
+    monkeypatch.setattr(meeting, "_strip", lambda rows, *a: seen.append(rows) or strip(rows, *a))
+    assert found(grid.meet_pairs(outer, others, direct=0)) == [(1, 1), (1, 2)]
+    assert seen[0].count() == 1
